@@ -1,8 +1,9 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from wardline.llm import exact_dedup, rules
+from wardline.llm import exact_dedup, packing, rules
 
 QUERIES = {
+    "op1_packing": packing.query,
     "op2_exact_dedup": exact_dedup.query,
     "op10_quality_rules": rules.query,
 }
