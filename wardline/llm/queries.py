@@ -1,10 +1,12 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from wardline.llm import exact_dedup, packing, rules
+from wardline.llm import bpe, classifier, exact_dedup, packing, rules
 
 QUERIES = {
     "op1_packing": packing.query,
     "op2_exact_dedup": exact_dedup.query,
+    "op3_quality_classifier": classifier.query,
+    "op8_bpe": bpe.query,
     "op10_quality_rules": rules.query,
 }
 
