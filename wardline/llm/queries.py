@@ -1,12 +1,13 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from wardline.llm import bpe, classifier, exact_dedup, jaccard, packing, rules
+from wardline.llm import bpe, classifier, exact_dedup, jaccard, packing, pii, rules
 
 QUERIES = {
     "op1_packing": packing.query,
     "op2_exact_dedup": exact_dedup.query,
     "op3_quality_classifier": classifier.query,
     "op4_ngram_jaccard": jaccard.query,
+    "op7_pii": pii.query,
     "op8_bpe": bpe.query,
     "op10_quality_rules": rules.query,
 }
