@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from wardline.llm import bpe, classifier, exact_dedup, jaccard, packing, pii, rules
+from wardline.llm import bpe, classifier, exact_dedup, jaccard, packing, pii, rules, suffix
 
 QUERIES = {
     "op1_packing": packing.query,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_ngram_jaccard": jaccard.query,
     "op7_pii": pii.query,
     "op8_bpe": bpe.query,
+    "op9_suffix_dedup": suffix.query,
     "op10_quality_rules": rules.query,
 }
 
