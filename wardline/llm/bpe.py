@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import table
-from wardline.llm.tokens import in_parts, load_tokenizer
+from wardline.llm.common import map_arrow, table
+from wardline.llm.tokens import byte_table, in_parts, load_tokenizer
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Mean distance of cuts: 2 to this power bytes.
@@ -35,13 +35,6 @@ CACHE_BYTES = 32 << 20
 _codecs: dict[str, Codec] = {}
 
 
-def byte_table() -> dict[str, int]:
-    """The byte that each printable character of a byte-level vocabulary stands for: printable Latin-1 as itself, the rest from 256 on."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 def cut_points(data: np.ndarray, bits: int = CHUNK_BITS) -> np.ndarray:
     """Ends of the 8-byte windows whose hash has its highest ``bits`` bits clear."""
     if len(data) < 8:
@@ -120,7 +113,7 @@ def _over(docs: DataFrame, schema: str, columns: list, make) -> DataFrame:
                 cols = make(values[a:b])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols.values()], names=["doc_id", *cols])
 
-    return docs.select(*columns).mapInArrow(run, schema)
+    return map_arrow(docs.select(*columns), run, schema)
 
 
 def encode(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm import hashing as H
-from wardline.llm.common import staged, table
+from wardline.llm.common import map_arrow, staged, table
 from wardline.llm.tokens import in_parts
 
 DIMS = 1 << 18
@@ -95,7 +95,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
                 cut = lambda x, kind: pa.array([x[i:j].astype(kind).tobytes() for i, j in zip(edges[:-1], edges[1:], strict=True)], pa.binary())  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), cut(column, np.int32), cut(value, np.float32)], names=["id", "y", "columns", "values"])
 
-    rows = sorted(staged(texts.mapInArrow(make, "id long, y int, columns binary, values binary"), "features").collect(), key=lambda r: (r.id * 0x9E3779B97F4A7C15 & H.MASK, r.columns))
+    rows = sorted(staged(map_arrow(texts, make, "id long, y int, columns binary, values binary"), "features").collect(), key=lambda r: (r.id * 0x9E3779B97F4A7C15 & H.MASK, r.columns))
     return train([(np.frombuffer(r["columns"], np.int32), np.frombuffer(r["values"], np.float32), r.y) for r in rows])
 
 
@@ -114,7 +114,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(p), pa.array((p >= CUT).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     own = F.col(id_col).cast("long")
-    return docs.select(own.alias("doc_id"), held_out(own).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    texts = docs.select(own.alias("doc_id"), held_out(own).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
+    return map_arrow(texts, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +58,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """mapInArrow, after this package was sent to the workers, which may not have it on their path."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        made = os.path.join(tempfile.mkdtemp(prefix="wardline-"), "wardline.zip")
+        with zipfile.ZipFile(made, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(package)))
+        context.addPyFile(made)
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(function, schema)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and bind it in ``body``; Catalyst would inline a plain column into each use."""
     return F.element_at(F.transform(F.array(value), body), 1)

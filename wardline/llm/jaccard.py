@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm import hashing as H
-from wardline.llm.common import partitions, staged, table
+from wardline.llm.common import map_arrow, partitions, staged, table
 from wardline.llm.exact_dedup import BITS_PER_ROW, maybe_repeated, repeated_filter
 from wardline.llm.tokens import in_parts
 
 #: Counters of the frequency sketch (one byte each once it is broadcast) and of each row of it.
-SKETCH, ROW = 1 << 21, 1 << 13
+SKETCH, ROW = 1 << 22, 1 << 13
 #: Filters have at most so many bits; fuller ones let more rows through but lose none.
 FILTER_BITS = 1 << 26
 
@@ -95,7 +95,7 @@ def profile(texts: DataFrame, rule: Rule) -> tuple[DataFrame, np.ndarray]:
     empty = lambda k, kind: pa.nulls(k, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(SKETCH, np.int64)
+        sketch = np.zeros(SKETCH, np.uint32)
         for batch in batches:
             values = batch.column(1).to_pylist()
             for a, b in in_parts(values, 1 << 20):
@@ -122,19 +122,22 @@ def profile(texts: DataFrame, rule: Rule) -> tuple[DataFrame, np.ndarray]:
                 total[k] = total.get(k, 0) + np.frombuffer(unpack(x), np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([pack(x.tobytes()) for x in total.values()], pa.binary())], names=["block", "counts"])
 
-    rows = staged(texts.mapInArrow(run, schema), "profile")
+    rows = staged(map_arrow(texts, run, schema), "profile")
     parts = min(partitions(texts.sparkSession), SKETCH // ROW)
     # Two levels, so that no task adds up the rows of every other task.
-    partial = rows.where("block IS NOT NULL").select("block", "counts", F.floor(F.rand(7) * 16).alias("salt")).repartition(parts, "block", "salt").select("block", "counts").mapInArrow(add, "block int, counts binary")
-    summed = partial.repartition(parts, "block").mapInArrow(add, "block int, counts binary").collect()
+    salted = rows.where("block IS NOT NULL").select("block", "counts", F.floor(F.rand(7) * 16).alias("salt")).repartition(parts, "block", "salt")
+    partial = map_arrow(salted.select("block", "counts"), add, "block int, counts binary")
+    summed = map_arrow(partial.repartition(parts, "block"), add, "block int, counts binary").collect()
     counts = np.zeros((SKETCH // ROW, ROW), np.uint64)
     if summed:
         import zstandard
 
         for r in summed:
             counts[r.block] += np.frombuffer(zstandard.ZstdDecompressor().decompress(r.counts), np.uint64)
-    usual = max(1.0, float(counts.mean()))
-    classes = np.clip(np.ceil(np.log2(np.maximum(counts.ravel(), 1) / usual / 2)), 0, 120).astype(np.uint8)
+    # Tokens that stand out from what others add to a counter by chance, in half octaves.
+    mean = float(counts.mean())
+    above = (counts.ravel() - mean) / (2 * (1 + np.sqrt(mean)))
+    classes = np.clip(np.ceil(2 * np.log2(np.maximum(above, 0.5))), 0, 120).astype(np.uint8)
     return rows.where("block IS NULL").select("doc_id", "n", "sid", "hist"), classes
 
 
@@ -195,14 +198,16 @@ def index_lists(texts: DataFrame, classes: np.ndarray, rule: Rule) -> DataFrame:
             yield from cut(held, True)
 
     schema = "token long, n int, sid long, pos int"
-    rows = texts.where("doc_id IS NOT NULL").mapInArrow(post, schema)
-    return staged(rows.repartition(partitions(spark), "token").sortWithinPartitions("token", "n", "sid").mapInArrow(near, schema), "lists")
+    rows = map_arrow(texts.where("doc_id IS NOT NULL"), post, schema).repartition(partitions(spark), "token")
+    return staged(map_arrow(rows.sortWithinPartitions("token", "n", "sid"), near, schema), "lists")
 
 
 def _may_match(rule: Rule, n1, p1, n2, p2):
-    """Whether a shared token at these positions leaves room for the overlap; n1 <= n2."""
+    """Whether a token at these positions can be the first that two sets share, n1 <= n2: only what follows it can be shared too.
+
+    Sets that link do meet at their first shared token, so a pair that passes nowhere is no link."""
     n1, n2, p1, p2 = (x.astype(np.int64) for x in (n1, n2, p1, p2))
-    most = np.minimum(p1, p2) + 1 + np.minimum(n1 - p1, n2 - p2) - 1
+    most = np.minimum(n1 - p1, n2 - p2)
     return (rule.percent * n2 <= 100 * n1) & ((100 + rule.percent) * most >= rule.percent * (n1 + n2))
 
 
@@ -213,7 +218,9 @@ def _pair_batch(a, b) -> pa.RecordBatch:
 
 
 def leader_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
-    """First round: (a, b) of each set of a block (token, size class) and the block's smallest set id."""
+    """First round: (a, b) of each set of a block (token, size class) and the block's leader.
+
+    The leader is the set that meets the token first: of near copies, the one with the fewest shingles of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = None
@@ -233,7 +240,8 @@ def leader_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
                 yield _pair_batch(sid[at][good], sid[good])
 
     sized = lists.select("token", F.floor(F.log(F.col("n").cast("double")) * 8).cast("int").alias("size"), "sid", "n", "pos")
-    return sized.repartition(partitions(lists.sparkSession), "token", "size").sortWithinPartitions("token", "size", "sid").mapInArrow(run, "a long, b long").distinct()
+    dealt = sized.repartition(partitions(lists.sparkSession), "token", "size").sortWithinPartitions("token", "size", "pos", "sid")
+    return map_arrow(dealt, run, "a long, b long").distinct()
 
 
 def list_pairs(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
@@ -247,7 +255,7 @@ def list_pairs(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
 
         def pairs(cols):
             token, n, sid, pos, label = cols
-            i, step = np.arange(len(token)), 0
+            i, step, found = np.arange(len(token)), 0, []
             while len(i):
                 step += 1
                 i = i[i + step < len(token)]
@@ -256,8 +264,9 @@ def list_pairs(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
                 i = i[(token[i] == token[j]) & (rule.percent * n[j].astype(np.int64) <= 100 * n[i].astype(np.int64))]
                 j = i + step
                 good = (label[i] != label[j]) & _may_match(rule, n[i], pos[i], n[j], pos[j])
-                if good.any():
-                    yield _pair_batch(sid[i][good], sid[j][good])
+                found.append((sid[i][good], sid[j][good]))
+            if any(len(a) for a, _ in found):
+                yield _pair_batch(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
         for batch in batches:
             if not batch.num_rows:
@@ -273,7 +282,8 @@ def list_pairs(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
             yield from pairs(held)
 
     rows = marked.join(mixed, "token", "left_semi").select("token", "n", "sid", "pos", "label")
-    return rows.repartition(partitions(lists.sparkSession), "token").sortWithinPartitions("token", "n", "sid").mapInArrow(run, "a long, b long").distinct()
+    dealt = rows.repartition(partitions(lists.sparkSession), "token").sortWithinPartitions("token", "n", "sid")
+    return map_arrow(dealt, run, "a long, b long").distinct()
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
@@ -287,7 +297,7 @@ def plausible(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
 
     side = nodes.select("sid", "n", "hist")
     met = pairs.join(side.toDF("a", "n1", "h1"), "a").join(side.toDF("b", "n2", "h2"), "b")
-    return staged(met.select("a", "b", "n1", "h1", "n2", "h2").mapInArrow(run, "a long, b long"), "plausible")
+    return staged(map_arrow(met.select("a", "b", "n1", "h1", "n2", "h2"), run, "a long, b long"), "plausible")
 
 
 def fetch_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
@@ -305,7 +315,7 @@ def fetch_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, rule: Rule
                 sets = list(shingle_sets(values[a:b], rule.words))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "sid", "shingles"])
 
-    found = near.mapInArrow(run, "rep long, sid long, shingles binary")
+    found = map_arrow(near, run, "rep long, sid long, shingles binary")
     return staged(found.join(reps, ["sid", "rep"], "left_semi").dropDuplicates(["sid"]).select("sid", "shingles"), "sets")
 
 
@@ -320,7 +330,7 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(both, pa.int64())], names=["a", "b", "both"])
 
     met = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return staged(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, both long"), "overlaps")
+    return staged(map_arrow(met.select("a", "b", "x", "y"), run, "a long, b long, both long"), "overlaps")
 
 
 def _sized(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import partitions, staged, table
+from wardline.llm.common import map_arrow, partitions, staged, table
 from wardline.llm.tokens import in_parts, word_encoder
 
 TOKENIZER, END_ID, WINDOW, UNIT = "word_bpe_49k.json", 2, 4096, 1024
@@ -44,7 +44,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(3)), pa.array(count + 1, pa.int64()), pa.array([pack(x.tobytes()) for x in parts], pa.binary())], names=["_row", "doc_id", "source", "n", "ids"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return staged(rows.mapInArrow(encode, "_row long, doc_id long, source string, n long, ids binary"), "ids")
+    return staged(map_arrow(rows, encode, "_row long, doc_id long, source string, n long, ids binary"), "ids")
 
 
 def running(df: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:
@@ -115,7 +115,7 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, wind
                 cols = [part.column("doc_id").take(take), flat.field("start"), flat.field("length"), pa.array([zlib.crc32(x) for x in found], pa.int64()), part.column("n").take(take), flat.field("sequence_id"), flat.field("offset"), part.column("source").take(take)]
                 yield pa.RecordBatch.from_arrays(cols + [pa.array(found, pa.binary())] * with_ids, names=names)
 
-    return met.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string" + ", ids binary" * with_ids)
+    return map_arrow(met, cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string" + ", ids binary" * with_ids)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

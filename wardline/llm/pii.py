@@ -40,7 +40,7 @@ CANDIDATES = {
     "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\\x20?[\\[(<]\\x20?(?:at|AT)\\x20?[\\])>]\\x20?[A-Za-z0-9-]++(?:\\x20?(?:[\\[(<]\\x20?(?:dot|DOT)\\x20?[\\])>]|\\.)\\x20?[A-Za-z0-9-]++)++",
     "card": "(?<![0-9])(?<![0-9][\\x20-])[0-9](?:[\\x20-]?[0-9]){12,18}(?![\\x20-]?[0-9])",
     "phone": "(?<![0-9+])(?<!\\+[0-9]\\x20)(?:\\([0-9]{3}\\)\\x20?|[0-9]{3}[\\x20.-])[0-9]{3}[\\x20.-][0-9]{4}(?![0-9])",
-    "secret": "(?<![A-Za-z0-9_/+=-])(?=[A-Za-z_/+=-]*+[0-9])[A-Za-z0-9_/+=-]{16,}+",
+    "secret": "(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])[A-Za-z0-9_/+-]{16,}+",
 }
 NEED_CANDIDATE = {"email": "[\\[(<]\\x20?(?:at|AT)\\x20?[\\])>]", "card": "[0-9]{2}", "phone": "[0-9]{3}[\\x20.)-]", "secret": "[0-9]"}
 KINDS = ["email", "ip", "card", "phone", "secret"]
@@ -144,6 +144,7 @@ def examples(seed: int = 7, each: int = 40) -> list[tuple[str, str, int]]:
         at, dot = f"{box[0]}at{box[1]}", f"{box[0]}dot{box[1]}"
         out.append(("email", f"{word()} {word()} {at} {word()} {dot} com {word()}", 1))
         out.append(("email", f"{word()} {word()}.{word()}{at}{word()}.org {word()}", 1))
+    r.shuffle(out)
     return out
 
 
