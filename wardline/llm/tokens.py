@@ -2,8 +2,8 @@
 
 Such a tokenizer never lets a token span white space, so a text's ids are the ids of its space-separated words in order.
 Words are cut at ASCII white space only; any other white space stays within a word and is left to the library. For a
-tokenizer that also lower-cases, A-Z are folded first, and a full stop or comma between a letter and white space is a word
-of its own, as the pre-tokenizer makes it; both let more words be shared.
+tokenizer that also lower-cases, A-Z are folded first, and words are also cut between a Latin letter and an ASCII mark
+other than the apostrophe, where the pre-tokenizer cuts whatever stands around; both let more words be shared.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ import re
 import numpy as np
 
 #: Words that one worker remembers; beyond it keeps those met more than once, which changes speed, not results.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 #: Latin letters (\p{L}) that NFC leaves as they are and that lower-casing only moves by 32, where no mark follows.
 _PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
-_SMALL, _STOP = (np.isin(np.arange(256), [*x]) for x in (range(97, 123), b".,"))
+_SMALL, _MARK = (np.isin(np.arange(256), [*x]) for x in (range(97, 123), b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, bool], WordEncoder] = {}
 
 
 def byte_table() -> dict[str, int]:
@@ -47,8 +47,9 @@ def load_tokenizer(name: str):
 class WordEncoder:
     """Maps lists of byte strings to flat arrays of ids."""
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, plain: bool = False):
         self.tokenizer = load_tokenizer(name)
+        self.tokenizer.encode_special_tokens = plain  # their strings in a text are then ordinary text
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         whole = json.loads(self.tokenizer.to_str())
         steps = (whole["normalizer"] or {}).get("normalizers", [whole["normalizer"] or {}])
@@ -87,6 +88,10 @@ class WordEncoder:
         rest = dict(zip(odd, self.tokenizer.encode_batch_fast([texts[k] for k in odd], add_special_tokens=False), strict=True))
         model, table = self.tokenizer.model, self.byte_level
         found = [rest[k].ids if k in rest else [t.id for t in model.tokenize(w if w.isascii() else w.translate(table))] for k, w in enumerate(texts)]
+        self.keep(words, found)
+
+    def keep(self, words: list[bytes], found: list[list[int]]) -> None:
+        """Remember the ids of words."""
         count = np.fromiter(map(len, found), np.int64, len(found))
         first = len(self.slot)
         self.slot.update(zip(words, range(first, first + len(words)), strict=True))
@@ -104,7 +109,9 @@ class WordEncoder:
             data = np.frombuffer(joined, np.uint8)
             letter = _SMALL[data]
             letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-            at = np.flatnonzero(_STOP[data[1:-1]] & letter[:-2] & _SPACE[data[2:]]) + 1
+            starts = letter | (data == 0xC3) & np.append(letter[1:], False)
+            mark = _MARK[data]
+            at = np.flatnonzero(mark[1:] & letter[:-1] | mark[:-1] & starts[1:]) + 1
             ends = np.cumsum(size)
             size = np.diff(ends + np.searchsorted(at, ends), prepend=0)
             joined = np.insert(data, at, 32).tobytes()
@@ -112,9 +119,8 @@ class WordEncoder:
         stops = np.flatnonzero(space[1:] & ~space[:-1])
         return joined.split(), np.concatenate([[0], np.searchsorted(stops, np.cumsum(size) - 1)])
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of all texts, and how many each text has."""
-        words, before = self.cut(texts)
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of words, and how many lie before the end of each word (0 first)."""
         if len(self.slot) > CACHED_WORDS:
             self.forget()
         unknown = list(set(words).difference(self.slot))
@@ -123,19 +129,23 @@ class WordEncoder:
         slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
         self.used += np.bincount(slots, minlength=len(self.used))
         count = self.count[slots]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(self.start[slots] - (ends - count), count) + np.arange(total)]
-        return ids, np.diff(np.concatenate([[0], ends])[before])
+        ends = np.concatenate([[0], np.cumsum(count)])
+        return self.pool[np.repeat(self.start[slots] - ends[:-1], count) + np.arange(ends[-1])], ends
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of all texts, and how many each text has."""
+        words, before = self.cut(texts)
+        ids, ends = self.look_up(words)
+        return ids, np.diff(ends[before])
 
 
-def word_encoder(name: str) -> WordEncoder:
-    if name not in _encoders:
-        _encoders[name] = WordEncoder(name)
-    return _encoders[name]
+def word_encoder(name: str, plain: bool = False) -> WordEncoder:
+    if (name, plain) not in _encoders:
+        _encoders[name, plain] = WordEncoder(name, plain)
+    return _encoders[name, plain]
 
 
-def in_parts(texts: list[bytes], limit: int = 1 << 21):
+def in_parts(texts: list[bytes], limit: int = 1 << 20):
     """Index ranges of about ``limit`` bytes each, one text at least."""
     first, size = 0, 0
     for k, t in enumerate(texts):
