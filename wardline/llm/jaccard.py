@@ -399,5 +399,17 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     return met.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without those of a group whose id is not the group's smallest; only texts that may go move."""
+    gone = near_duplicates(docs, rule, id_col, text_col).where("component_id <> doc_id").select("doc_id").distinct()
+    gone = staged(gone.select(F.xxhash64("doc_id").alias("_h"), "doc_id"), "gone")
+    bits = min(FILTER_BITS, max(1024, BITS_PER_ROW * gone.count()))
+    words = staged(repeated_filter(gone.select("_h").unionAll(gone.select("_h")), bits), "bloom")
+    held = docs.select(F.struct(*docs.columns).alias("_doc"), F.xxhash64(F.col(id_col).cast("long")).alias("_h"))
+    tested = maybe_repeated(held, words, bits)
+    met = tested.where("_maybe").join(gone.select("doc_id"), F.col("_doc")[id_col].cast("long") == F.col("doc_id"), "left_anti")
+    return tested.where("NOT _maybe").select("_doc.*").unionByName(met.select("_doc.*"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
