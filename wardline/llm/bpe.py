@@ -1,11 +1,12 @@
 """Operator 8, BPE encoding and decoding by content-defined chunks.
 
 Texts are cut where a rolling hash of 8 bytes meets a mask, so equal passages are cut alike wherever they stand. A chunk is
-encoded once per worker and reused. A cut may fall within a token, so every join is repaired: up to the last certain word
+encoded once per worker and reused; within a new chunk, so is each word between certain boundaries. A cut may fall within a token, so every join is repaired: up to the last certain word
 boundary before the cut, and from the first one after it, a chunk's ids agree exactly with those of the whole text; the
 stretch in between is encoded anew across the cut, and grows over further cuts until both ends are certain.
 
-A boundary is certain before a space that follows an ASCII character that is no white space: the byte-level pre-tokenizer
+A boundary is certain before a space that follows an ASCII character or Latin letter, no white space, and between such a
+letter and an ASCII mark other than the apostrophe: the byte-level pre-tokenizer
 starts a new word there whatever stands around it, special tokens hold no space, and merges never cross words.
 
 Each text is handled in the task that reads it: nothing shuffles, whatever repeats, and memory holds one batch and a cache
@@ -16,6 +17,7 @@ give a row each; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.common import map_arrow, table
-from wardline.llm.tokens import byte_table, in_parts, load_tokenizer
+from wardline.llm.tokens import WordEncoder, byte_table, in_parts
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Mean distance of cuts: 2 to this power bytes.
@@ -43,22 +45,67 @@ def cut_points(data: np.ndarray, bits: int = CHUNK_BITS) -> np.ndarray:
     return np.flatnonzero(windows * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits) == 0) + 8
 
 
-def pieces_of(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def boundaries(data: np.ndarray, starts: np.ndarray, special: bool) -> np.ndarray:
+    """Text starts and certain boundaries; those at marks only where no special token may be (``special`` false)."""
+    plain = (data > 32) & (data < 127)
+    latin = np.zeros(len(data), bool)
+    latin[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[starts] = True
+    edge[1:-1] |= (data[1:] == 32) & (plain | latin)[:-1]
+    if not special:
+        ends = _LETTER[data] | latin & (data != 0x97) & (data != 0xB7)
+        begins = ends.copy()
+        begins[:-1] |= ends[1:] & latin[1:]
+        mark = _MARK[data]
+        edge[1:-1] |= mark[1:] & ends[:-1] | mark[:-1] & begins[1:]
+    return np.flatnonzero(edge)
+
+
+def pieces_of(data: np.ndarray, starts: np.ndarray, special: bool) -> np.ndarray:
     """Edges of the stretches that are encoded on their own: text starts, and certain boundaries on both sides of each cut."""
-    certain = np.flatnonzero((data[1:] == 32) & (data[:-1] > 32) & (data[:-1] < 127)) + 1
-    certain = np.union1d(certain, starts)
+    certain = boundaries(data, starts, special)
     cuts = cut_points(data)
     at = np.searchsorted(certain, cuts, "right") - 1
     after = np.searchsorted(certain, cuts, "left")
-    near = np.concatenate([certain[at], certain[after[after < len(certain)]]])
-    return np.union1d(near, starts)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[starts] = True
+    edge[certain[at]] = edge[certain[after[after < len(certain)]]] = True
+    return np.flatnonzero(edge)
+
+
+_LETTER, _MARK = (np.isin(np.arange(256), [*x]) for x in ([*range(65, 91), *range(97, 123)], b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
+#: What the pre-tokenizer makes one word: letters or marks, with a space before.
+_WORD = re.compile("(?: ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+| ?[!-&(-/:-@\\[-`{-~]+)").fullmatch
+
+
+class BoundedWords(WordEncoder):
+    """Ids of stretches between certain boundaries; plain words go to the model directly."""
+
+    def __init__(self, name: str):
+        super().__init__(name)
+        shown = {b: c for c, b in byte_table().items()}
+        self.shown = {c: "".join(shown[b] for b in chr(c).encode()) for c in [32, *range(0xC0, 0x100)]}
+        self.dtype, self.pool = np.uint32, np.zeros(0, np.uint32)
+        tried = [w for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)] for w in (f" a{chr(c)}he", f"{chr(c)}the", " %%,") if _WORD(w)]
+        self.direct = all(self.simple(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in tried)
+
+    def simple(self, word: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(word.translate(self.shown))]
+
+    def learn(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        odd = [k for k, w in enumerate(texts) if not (self.direct and _WORD(w))]
+        rest = dict(zip(odd, self.tokenizer.encode_batch_fast([texts[k] for k in odd], add_special_tokens=False), strict=True))
+        self.keep(words, [rest[k].ids if k in rest else self.simple(w) for k, w in enumerate(texts)])
 
 
 class Codec:
     """Encoder with a chunk cache, and decoder by a table of bytes."""
 
     def __init__(self, name: str):
-        self.tokenizer = load_tokenizer(name)
+        self.words = BoundedWords(name)
+        self.tokenizer = self.words.tokenizer
         self.known: dict[bytes, np.ndarray] = {}
         self.size = 0
         stands_for, vocabulary = byte_table(), self.tokenizer.get_vocab(with_added_tokens=True)
@@ -77,14 +124,19 @@ class Codec:
         if not joined:
             return [np.zeros(0, np.uint32) for _ in texts]
         ends = np.cumsum([len(t) for t in texts])
-        edges = pieces_of(np.frombuffer(joined, np.uint8), np.concatenate([[0], ends]))
+        special = b"<|" in joined
+        edges = pieces_of(np.frombuffer(joined, np.uint8), np.concatenate([[0], ends]), special)
         pieces = [joined[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         if self.size > CACHE_BYTES:
             self.known, self.size = {}, 0
         new = list({p for p in pieces if p not in self.known})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, np.uint32)
-            self.size += len(p)
+        if new:
+            fresh, size = b"".join(new), np.cumsum([0] + [len(p) for p in new])
+            cuts = boundaries(np.frombuffer(fresh, np.uint8), size, special)
+            flat, before = self.words.look_up([fresh[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)])
+            at = before[np.searchsorted(cuts, size)].tolist()
+            self.known.update(zip(new, (flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)), strict=True))
+            self.size += len(fresh)
         first = np.searchsorted(edges, np.concatenate([[0], ends])).tolist()
         none = [np.zeros(0, np.uint32)]
         return [np.concatenate(none + [self.known[p] for p in pieces[a:b]]) for a, b in zip(first[:-1], first[1:], strict=True)]
