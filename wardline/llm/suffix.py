@@ -10,8 +10,9 @@ hash of ``GRAM`` bytes). The rest is decided among the texts around equal anchor
    of which only the runs are kept, with the text position and the match length sampled at both ends of each run. Within a
    run, a position's longest match with its neighbour is one less than that of the position before it; so matching
    statistics stream through the text from the samples, and those of LENGTH or more are marked.
-3. Groups beyond ``GROUP`` contexts, and contexts that overlap in one text, are compared by hashes of all strings at equal
-   distance from the anchor instead, each a row of its own: as exact, and spread over all tasks.
+3. Contexts that overlap in one text show one place twice, so their groups are compared by hashes of all strings at equal
+   distance from the anchor instead; so are groups beyond ``GROUP`` contexts, with each string a row of its own: as exact,
+   and spread over all tasks.
 
 Only documents with marks meet them by a shuffle. Equality of strings of 200 bytes and more is equality of 64-bit hashes.
 
@@ -54,9 +55,11 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Text index, position, anchor hash and context hash of every anchor, in order."""
+    """Text index, position, anchor hash, context hash, bytes of the context before the anchor and in all, in order.
+
+    The context of an anchor is what the strings cover whose anchor it is: strings that start one after the other share one."""
     data, starts = H.join_texts(texts)
-    none = tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.uint64, np.uint64))
+    none = tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.uint64, np.uint64, np.int64, np.int64))
     if len(data) < LENGTH:
         return none
     sums = H.prefix(H.BYTE_VALUES[data])
@@ -64,18 +67,19 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     grams = H.spans(sums, at, at + GRAM)
     # The low bits hold the place, so that of equal hashes the leftmost wins.
     low = np.uint64((1 << len(data).bit_length()) - 1)
-    least = sliding_min(grams & ~low | at.astype(np.uint64), REACH + 1)
-    first = np.arange(len(least))
-    doc = np.searchsorted(starts, first, "right") - 1
-    whole = first + LENGTH <= starts[doc + 1] - 1
-    place = np.unique(least[whole] & low).astype(np.int64)
-    if not len(place):
+    place = (sliding_min(grams & ~low | at.astype(np.uint64), REACH + 1) & low).astype(np.int64)
+    # Only strings that end within their text count.
+    room = np.repeat(starts[1:] - 1 - LENGTH, np.diff(starts))[: len(place)]
+    first = np.flatnonzero(np.arange(len(place)) <= room)
+    if not len(first):
         return none
+    place = place[first]
+    new = np.concatenate([[True], place[1:] != place[:-1]])
+    left, stop = first[new], first[np.append(np.flatnonzero(new)[1:] - 1, len(first) - 1)] + LENGTH
+    place = place[new]
     doc = np.searchsorted(starts, place, "right") - 1
-    left = np.maximum(starts[doc], place - REACH)
-    right = np.minimum(starts[doc + 1] - 1, place + LENGTH)
-    around = H.mix(H.spans(sums, left, right) + (place - left).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return doc, place - starts[doc], grams[place], around
+    around = H.mix(H.spans(sums, left, stop) + (place - left).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return doc, place - starts[doc], grams[place], around, place - left, stop - left
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -104,7 +108,7 @@ def _occurrences(texts: DataFrame) -> DataFrame:
         for batch in batches:
             values = batch.column(2).to_pylist()
             for a, b in in_parts(values, 1 << 20):
-                doc, place, gram, around = anchors(values[a:b])
+                doc, place, gram, around, left, size = anchors(values[a:b])
                 if not len(doc):
                     continue
                 new = np.ones(len(doc), bool)
@@ -112,22 +116,22 @@ def _occurrences(texts: DataFrame) -> DataFrame:
                 at = np.flatnonzero(new)
                 stop = np.append(at[1:], len(doc))
                 own = pa.array(doc[at] + a)
-                yield pa.RecordBatch.from_arrays([pa.array(gram[at].view(np.int64)), pa.array(around[at].view(np.int64)), batch.column(0).take(own), batch.column(1).take(own), pa.array(place[at]), pa.array(place[stop - 1]), pa.array(stop - at)], names=["_h", "ch", "doc_id", "th", "pos", "last", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(gram[at].view(np.int64)), pa.array(around[at].view(np.int64)), batch.column(0).take(own), batch.column(1).take(own), pa.array(place[at]), pa.array(place[stop - 1]), pa.array(stop - at), pa.array(left[at].astype(np.int32)), pa.array(size[at].astype(np.int32))], names=["_h", "ch", "doc_id", "th", "pos", "last", "n", "left", "size"])
 
-    return map_arrow(texts, run, "_h long, ch long, doc_id long, th long, pos long, last long, n long")
+    return map_arrow(texts, run, "_h long, ch long, doc_id long, th long, pos long, last long, n long, left int, size int")
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """Staged contexts (_h, ch, left, bytes, doc_id, th, pos) of one occurrence each."""
-    by_doc = staged(wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("_h", "ch", "pos")).alias("at")), "wanted")
+    by_doc = staged(wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("_h", "ch", "pos", "left", "size")).alias("at")), "wanted")
     near = _meeting(texts, by_doc)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 text, at = batch.column(2)[k].as_py(), batch.column(3)[k].as_py()
-                left = [max(0, x["pos"] - REACH) for x in at]
-                cols = [[x["_h"] for x in at], [x["ch"] for x in at], [x["pos"] - y for x, y in zip(at, left, strict=True)], [text[y : x["pos"] + LENGTH] for x, y in zip(at, left, strict=True)], [batch.column(0)[k].as_py()] * len(at), [batch.column(1)[k].as_py()] * len(at), [x["pos"] for x in at]]
+                start = [x["pos"] - x["left"] for x in at]
+                cols = [[x["_h"] for x in at], [x["ch"] for x in at], [x["left"] for x in at], [text[y : y + x["size"]] for x, y in zip(at, start, strict=True)], [batch.column(0)[k].as_py()] * len(at), [batch.column(1)[k].as_py()] * len(at), [x["pos"] for x in at]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["_h", "ch", "left", "bytes", "doc_id", "th", "pos"])
 
     found = map_arrow(near.select("doc_id", "th", "text", "at"), run, "_h long, ch long, left int, bytes binary, doc_id long, th long, pos long")
@@ -220,23 +224,58 @@ def _spans_of(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(hit[np.append(0, new + 1)].tolist(), (hit[np.append(new, len(hit) - 1)] + LENGTH).tolist(), strict=True))
 
 
+def _string_hashes(text: bytes) -> np.ndarray:
+    """Hashes of all strings of LENGTH bytes."""
+    data = np.frombuffer(text, np.uint8)
+    start = np.arange(len(data) - LENGTH + 1)
+    return H.spans(H.prefix(H.BYTE_VALUES[data]), start, start + LENGTH)
+
+
+def _overlapping(rows: list[tuple]) -> bool:
+    """Whether two contexts of a group lie over each other in one text."""
+    places: dict[tuple, list[int]] = {}
+    for *_, doc_id, th, pos in rows:
+        places.setdefault((doc_id, th), []).append(pos)
+    return any(b - a < REACH + LENGTH for p in places.values() if len(p) > 1 for a, b in zip(sorted(p)[:-1], sorted(p)[1:], strict=True))
+
+
+def _aligned(rows: list[tuple]) -> list[tuple]:
+    """Marks of one group by strings at equal distance from the anchor."""
+    keys = [_string_hashes(r[3]) for r in rows]
+    size = np.array([len(k) for k in keys])
+    own = np.repeat(np.arange(len(rows)), size)
+    start = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+    place = start - np.array([r[2] for r in rows])[own]
+    key = H.mix(np.concatenate(keys) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    hit = np.zeros(len(key), bool)
+    hit[order[1:][same]] = hit[order[:-1][same]] = True
+    return [(rows[k][0], rows[k][1], a - rows[k][2], b - rows[k][2]) for k in range(len(rows)) for a, b in _spans_of(start[hit & (own == k)])]
+
+
 def _indexed(contexts: DataFrame) -> DataFrame:
     """Marks (_h, ch, a, b), relative to the anchor, by the run-length index."""
 
     def marks(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if not rows:
-            return
-        found = matching_statistics([r[3] for r in rows], np.array([r[0] for r in rows]))
-        out, start = [], 0
-        for h, ch, left, text in rows:
-            out += [(h, ch, a - left, b - left) for a, b in _spans_of(np.flatnonzero(found[start : start + len(text)] >= LENGTH))]
-            start += len(text)
+        out, apart = [], []
+        edges = [k for k in range(len(rows)) if not k or rows[k][0] != rows[k - 1][0]] + [len(rows)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if _overlapping(rows[a:b]):
+                out += _aligned(rows[a:b])
+            else:
+                apart += rows[a:b]
+        if apart:
+            found, start = matching_statistics([r[3] for r in apart], np.array([r[0] for r in apart])), 0
+            for h, ch, left, text, *_ in apart:
+                out += [(h, ch, a - left, b - left) for a, b in _spans_of(np.flatnonzero(found[start : start + len(text)] >= LENGTH))]
+                start += len(text)
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["_h", "ch", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for row in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
                 if size > CHUNK and row[0] != held[-1][0]:
                     yield from marks(held)
                     held, size = [], 0
@@ -244,7 +283,7 @@ def _indexed(contexts: DataFrame) -> DataFrame:
                 size += len(row[3])
         yield from marks(held)
 
-    dealt = contexts.select("_h", "ch", "left", "bytes").repartition(partitions(contexts.sparkSession), "_h").sortWithinPartitions("_h", "ch")
+    dealt = contexts.select("_h", "ch", "left", "bytes", "doc_id", "th", "pos").repartition(partitions(contexts.sparkSession), "_h").sortWithinPartitions("_h", "ch")
     return map_arrow(dealt, run, "_h long, ch long, a int, b int")
 
 
@@ -254,10 +293,8 @@ def _hashed(contexts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for h, ch, left, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                data = np.frombuffer(text, np.uint8)
-                start = np.arange(min(left, len(data) - LENGTH) + 1)
-                sums = H.prefix(H.BYTE_VALUES[data])
-                key = H.spans(sums, start, start + LENGTH).view(np.int64)
+                key = _string_hashes(text).view(np.int64)
+                start = np.arange(len(key))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), h)), pa.array(np.full(len(start), ch)), pa.array((start - left).astype(np.int32)), pa.array(key)], names=["_h", "ch", "a", "key"])
 
     rows = staged(map_arrow(contexts.select("_h", "ch", "left", "bytes"), run, "_h long, ch long, a int, key long"), "strings")
@@ -273,18 +310,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = min(FILTER_BITS, max(1024, BITS_PER_ROW * counted.count()))
     words = staged(repeated_filter(counted.unionAll(counted), bits), "bloom")
     occurring = staged(maybe_repeated(_occurrences(texts), words, bits).where("_maybe").drop("_maybe"), "occurrences")
-    kinds = staged(occurring.groupBy("_h", "ch").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "th", "pos")).alias("rep")), "kinds")
+    kinds = staged(occurring.groupBy("_h", "ch").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "th", "pos", "left", "size")).alias("rep")), "kinds")
     several = staged(kinds.groupBy("_h").agg(F.count(F.lit(1)).alias("g")).where("g > 1"), "several")
-    contexts = _contexts(texts, kinds.join(several, "_h", "left_semi").select("_h", "ch", "rep.doc_id", "rep.th", "rep.pos"))
-    # Contexts that overlap in one text show one place twice.
-    close = contexts.groupBy("_h", "doc_id", "th").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_h")
-    apart = staged(several.where(F.col("g") > GROUP).select("_h").unionAll(close).distinct(), "apart")
-    full = kinds.where("n > 1").select("_h", "ch", F.lit(-REACH).alias("a"), F.lit(LENGTH).alias("b"))
-    partial = _indexed(contexts.join(apart, "_h", "left_anti")).unionAll(_hashed(contexts.join(apart, "_h", "left_semi")))
+    contexts = _contexts(texts, kinds.join(several, "_h", "left_semi").select("_h", "ch", "rep.*"))
+    large = several.where(F.col("g") > GROUP).select("_h")
+    full = kinds.where("n > 1").select("_h", "ch", (-F.col("rep.left")).alias("a"), (F.col("rep.size") - F.col("rep.left")).alias("b"))
+    partial = _indexed(contexts.join(large, "_h", "left_anti")).unionAll(_hashed(contexts.join(large, "_h", "left_semi")))
     partial = partial.join(kinds.where("n > 1").select("_h", "ch"), ["_h", "ch"], "left_anti")
     marks = staged(full.unionAll(partial).groupBy("_h", "ch").agg(F.collect_list(F.struct("a", "b")).alias("marks")), "marks")
     met = occurring.join(marks, ["_h", "ch"]).select("doc_id", "th", "pos", "last", F.explode("marks").alias("m"))
-    met = met.select("doc_id", "th", F.greatest(F.col("pos") + F.col("m.a"), F.lit(0)).alias("a"), (F.col("last") + F.col("m.b")).alias("b"))
+    met = met.select("doc_id", "th", (F.col("pos") + F.col("m.a")).alias("a"), (F.col("last") + F.col("m.b")).alias("b"))
     return texts, staged(met.groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
 
 
