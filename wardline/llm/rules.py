@@ -25,9 +25,10 @@ BUCKETS = 1 << 16
 #: Trusted documents that the target multinomial is fitted on: those with the smallest hash of their id.
 TARGET_ROWS = 4096
 #: Mean log ratio under which a document is rejected.
-THRESHOLD = -0.15
-#: Share of the target's counts that are drawn from the raw corpus, so that no bucket is empty.
-PRIOR = 0.05
+THRESHOLD = -0.16
+#: Counts added to both the target's count of a bucket and the count the raw corpus would lead one to expect: buckets that
+#: the target is too small to tell about weigh next to nothing, so clean texts of rare words stay.
+PSEUDO = 10
 #: Weights are kept as one byte each, in steps of 1/32 from -2.5 to 1.46875; 80 stands for 0.
 STEP, LOWEST = 32, -2.5
 MIN_WORDS, SYMBOLS = 50, "[#*$%&|<>]"
@@ -52,7 +53,7 @@ def fit_weights(docs: DataFrame, trusted: DataFrame, text_col: str = "text", id_
     n_raw, n_target = sum(raw), sum(target)
     if not n_target:
         return bytes([int(-LOWEST * STEP)]) * BUCKETS
-    ratio = (((t / n_target + PRIOR * r / n_raw) / (1 + PRIOR)) / (r / n_raw) if r else 1 for t, r in zip(target, raw, strict=True))
+    ratio = ((t + PSEUDO) / (r * n_target / n_raw + PSEUDO) for t, r in zip(target, raw, strict=True))
     return bytes(max(0, min(127, round((math.log(x) - LOWEST) * STEP))) for x in ratio)
 
 
