@@ -1,0 +1,379 @@
+"""Each operator against brute force over odd rows, an empty table, and the small table of documents."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import oracle
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import PROSE, counted, prose, words
+from wardline.llm import bpe, classifier, exact_dedup, jaccard, licenses, packing, pii, rules, suffix, token_scan
+from wardline.llm.queries import QUERIES, SQL
+from wardline.llm.tokens import load_tokenizer
+
+
+def sha(b):
+    return hashlib.sha256(b if isinstance(b, bytes) else b.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_sql(spark, sf, name):
+    assert oracle.differences(QUERIES[name](spark, sf), SQL[name], oracle.connect(sf)) is None
+
+
+# --- 1 packing
+
+def packed(rows, docs):
+    tokenizer = load_tokenizer(packing.TOKENIZER)
+    ids = Counter()
+    of = defaultdict(list)
+    for i, t in docs:
+        x = tokenizer.encode(t or "", add_special_tokens=False).ids + [packing.END_ID]
+        of[i].append(x)
+        ids[i] += len(x)
+    for r in rows:
+        own = [x for x in of[r.doc_id] if len(x) == r.doc_tokens]
+        assert r.ids_crc32 in {zlib.crc32(np.array(x[r.start : r.start + r.length], "<u4").tobytes()) for x in own}
+    got = Counter()
+    sequences = defaultdict(list)
+    for r in rows:
+        got[r.doc_id] += r.length
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert got == ids
+    assert sorted(sequences) == list(range(len(sequences)))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at and length > 0
+            at += length
+        assert at == 4096 or at & (at - 1) == 0 and at < 4096
+
+
+def test_packing(odd, none, plain):
+    rows = packing.pack(odd, with_ids=True).collect()
+    packed(rows, plain)
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in rows)
+    assert packing.pack(none).count() == 0
+
+
+def test_packing_keeps_the_mixture(spark, sf):
+    rows = packing.query(spark, sf).toPandas()
+    share = rows.groupby("source").length.sum() / rows.length.sum()
+    so_far = rows.pivot_table(index="sequence_id", columns="source", values="length", aggfunc="sum", fill_value=0).cumsum()
+    assert so_far.sub(np.outer(so_far.sum(axis=1), share)).abs().max().max() <= 2 * packing.UNIT
+
+
+def test_packing_small_windows_and_weights(spark):
+    docs = spark.createDataFrame([(k, prose(k, 40), "ab"[k % 2]) for k in range(30)], "doc_id long, text string, source string")
+    rows = packing.pack(docs, window=64, unit=200, weights={"a": 0.8, "b": 0.2}).collect()
+    first = [r for r in rows if r.sequence_id < 8]
+    assert sum(r.length for r in first if r.source == "a") > 0.65 * sum(r.length for r in first)
+    cover = defaultdict(int)
+    for r in rows:
+        cover[r.doc_id] += r.length
+    assert all(cover[r.doc_id] == r.doc_tokens for r in rows) and max(r.length for r in rows) <= 64
+
+
+# --- 2 exact dedup
+
+def deduped(docs):
+    groups = defaultdict(list)
+    for i, t in docs:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), i is not None, i))
+    return {k: (min(v)[2], len(v)) for k, v in groups.items()}
+
+
+def test_exact_dedup(odd, none, plain):
+    groups = deduped(plain)
+    expected = Counter((i, *groups[k], sha(k)) for i, t in plain for k in [re.sub(r"[\x20\x09-\x0D]", "", t or "")])
+    rows = exact_dedup.exact_dedup(odd).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in rows) == expected
+    kept = [r for r in rows if r.kept]
+    assert len(kept) == len(groups) and all(r.doc_id == r.keep_id for r in kept)
+    stay = exact_dedup.drop_repeats(odd)
+    assert stay.columns == odd.columns
+    assert counted(stay.select("doc_id").collect()) == Counter((r.doc_id,) for r in kept)
+    assert exact_dedup.exact_dedup(none).count() == 0 == exact_dedup.drop_repeats(none).count()
+
+
+def test_exact_dedup_beyond_the_broadcast_bound(odd, plain, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_WORDS", 0)
+    assert exact_dedup.exact_dedup(odd).where("kept").count() == len(deduped(plain))
+
+
+# --- 3 classifier
+
+def test_classifier_held_out(spark, sf):
+    rows = classifier.query(spark, sf.replace("sf0.001", "sf0.01")).toPandas()
+    labels = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/labels.parquet").toPandas()
+    met = rows.merge(labels, on="doc_id").query("held_out")
+    assert ((met.score >= 0.3) == met.predicted.astype(bool)).all()
+    good, bad = met.score[met.quality == 1].values, met.score[met.quality == 0].values
+    assert (good[:, None] > bad[None]).mean() > 0.95
+    assert (met.predicted == met.quality).mean() > 0.9
+
+
+def test_classifier_odd_rows(odd, none, spark):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)] + [(None, 1), (99, None), (60, 1), (60, 0)], "doc_id long, quality int")
+    model = classifier.fit(odd, labels)
+    rows = classifier.score(odd, model).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    same = [r.score for r in rows if r.doc_id in (50, 51, 52)]
+    assert len(set(same)) == 1
+    empty = classifier.fit(odd, labels.limit(0))
+    assert {r.score for r in classifier.score(odd, empty).collect()} == {0.5}
+    assert classifier.score(none, model).count() == 0
+
+
+# --- 4 Jaccard join
+
+def linked(docs, n, percent):
+    low = lambda s: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s or "")
+    sets = defaultdict(list)
+    for i, t in docs:
+        w = words(low(t))
+        sets[i].append({tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set())
+    ids = sorted(i for i in sets if i is not None)
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in ids:
+        for b in ids:
+            if a < b and any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b]):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return {(i, len(s)): (find(i) if i is not None else None) for i, own in sets.items() for s in own}
+
+
+@pytest.mark.parametrize("rule", [jaccard.Rule(), jaccard.Rule(5, 80), jaccard.Rule(2, 60)])
+def test_jaccard(odd, plain, rule):
+    expected = linked(plain, *rule)
+    rows = jaccard.near_duplicates(odd, rule).collect()
+    assert len(rows) == len(plain)
+    assert {(r.doc_id, r.n_shingles): r.component_id for r in rows} == expected
+
+
+def test_jaccard_group_of_many_variants(spark):
+    """A group whose copies link through the original only, copies of copies, and a passage that many texts share."""
+    r = random.Random(3)
+    base = [r.choice(PROSE) + str(r.randrange(50)) for _ in range(150)]
+    docs = [(0, " ".join(base))]
+    for k in range(1, 60):
+        w = list(base)
+        for _ in range(r.choice([1, 2, 3, 4])):
+            w[r.randrange(150)] = f"z{k}"
+        docs.append((k, " ".join(w)))
+    docs += [(100 + k, " ".join(base[:70] + [f"y{k}{i}" for i in range(r.choice([20, 60]))])) for k in range(25)]
+    rows = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(x.doc_id, x.n_shingles): x.component_id for x in rows} == linked(docs, 4, 85)
+
+
+def test_jaccard_small_table_and_stage(odd, none, spark, sf):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows = jaccard.query(spark, sf).collect()
+    assert {(r.doc_id, r.n_shingles): r.component_id for r in rows} == linked(docs, 4, 85)
+    assert jaccard.near_duplicates(none).count() == 0 == jaccard.keep_one(none).count()
+    kept = jaccard.keep_one(odd, jaccard.Rule(5, 80))
+    groups = {r.doc_id: r.component_id for r in jaccard.near_duplicates(odd, jaccard.Rule(5, 80)).collect()}
+    assert kept.columns == odd.columns
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == {i for i, c in groups.items() if i == c}
+
+
+# --- 5 licenses
+
+def test_licenses(odd, none, spark):
+    long = " ".join(licenses.TEMPLATES["mit-permission"].split())
+    filler = "lorem ipsum dolor sit amet "
+    texts = [filler * k + long + filler * 3 for k in range(9)] + [long.upper(), long[: len(long) // 2], filler + "released under the mit license", "Released under the BSD License.", licenses.TEMPLATES["apache-2.0-notice"]]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.licenses for r in rows] == ["mit-permission"] * 10 + ["", "mit", "", "apache-2.0-notice"]
+    assert licenses.scan(odd).where("n_licenses > 0").count() == 0 and licenses.scan(odd).count() == odd.count()
+    assert licenses.scan(none).count() == 0
+
+
+# --- 6 token counts
+
+@pytest.mark.parametrize("block", [5, 64, 1 << 19])
+def test_token_counts(odd, none, plain, block):
+    tokenizer = load_tokenizer(token_scan.TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    expected = Counter((i, len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t in plain if len(t or "") < 10000 or block > 5)
+    docs = odd if block > 5 else odd.where("coalesce(length(text), 0) < 10000")
+    assert counted(token_scan.count_tokens(docs, block=block).select("doc_id", "n_tokens").collect()) == expected
+    assert token_scan.count_tokens(none).count() == 0
+
+
+def test_unended_files(spark, tmp_path):
+    np.array([1, 2, 9, 3, 9, 9, 4, 5], np.uint16).tofile(tmp_path / "a")
+    np.array([7] * 11, np.uint16).tofile(tmp_path / "b")
+    files = spark.createDataFrame([(str(tmp_path / "a"), 8), (str(tmp_path / "b"), 11), (str(tmp_path / "c"), 0)], "path string, n_tokens long")
+    for block in (1, 3, 100):
+        rows = token_scan.scan_token_files(files, str(tmp_path), 9, "uint16", block).collect()
+        assert sorted((r.path[-1], r.ordinal, r.start, r.n_tokens, r.ended) for r in rows) == [("a", 0, 0, 2, True), ("a", 1, 3, 1, True), ("a", 2, 5, 0, True), ("a", 3, 6, 2, False), ("b", 0, 0, 11, False)]
+
+
+# --- 7 personal data
+
+def luhn(d):
+    return sum((v := int(c) * (1 + i % 2)) - 9 * (v > 9) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def base_spans(t):
+    out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
+    for kind, rx, ok in (("card", r"[0-9]([\x20-]?[0-9])+", lambda d: 16 <= len(d) <= 19 and luhn(d)), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda d: 8 <= len(d) <= 15)):
+        out += [(kind, m.start(), m.end()) for m in re.finditer(rx, t) if ok(re.sub("[^0-9]", "", m.group()))]
+    return out
+
+
+def test_personal_data(spark, odd, none, sf):
+    r = random.Random(5)
+    bits = ["a", "@", "b.c", "..", "1", "2", "12", "255", "256", ".", "-", " ", "+", "(", ")", "4111111111111111", "é", "😀", "_", "%", "+1 (017) 555-7713", "x@y.z", "\n"]
+    docs = [(k, "".join(r.choice(bits) for _ in range(r.randint(0, 25)))) for k in range(400)]
+    docs += [(1000, "1" * 9000), (1001, "1 2 " * 5000), (1002, "a." * 9000), (1003, "a@" + "b." * 9000 + "c"), (1004, "+" + "1-" * 9000 + "1"), (1005, "a" * 30000 + "@"), (1006, None)]
+    docs += [(x.doc_id + 10000, x.text) for x in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows = pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = counted((x.doc_id, x.n_email, x.n_ip, x.n_card, x.n_phone, x.base_sha256) for x in rows)
+    expected = Counter()
+    for i, t in docs:
+        found = base_spans(t or "")
+        expected[(i, *(sum(k == x[0] for x in found) for k in ("email", "ip", "card", "phone")), sha(",".join(f"{k}:{a}:{b}" for k, a, b in found)))] += 1
+    assert got == expected
+    text = dict(docs)
+    for x in rows:
+        listed = x.spans.split(",") if x.spans else []
+        assert {f"{k}:{a}:{b}" for k, a, b in base_spans(text[x.doc_id] or "")} <= set(listed)
+    assert pii.find(odd).where("spans <> ''").count() == 0 and pii.find(none).count() == 0
+
+
+def test_candidates_and_redaction(spark):
+    texts = ['my token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" is', "call (212) 555-0199 now", "mail jane [at] example [dot] com", "card 1234 5678 9012 3456 please", "rows 212 555 0199", "commit 04dbebab91ab85687d33eeaaf9ac699e1188f962", "é a@b.co +1 (017) 555-7713, 1.2.3.4", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    new = pii.redact(docs).orderBy("doc_id").collect()
+    assert [x.text for x in new] == ['my token = "[SECRET]" is', "call [PHONE] now", "mail [EMAIL]", "card [CARD] please", *texts[4:6], "é [EMAIL] [PHONE], [IP]", None]
+    assert all(x.n_chars == (len(x.text) if x.text is not None else None) for x in new)
+
+
+def test_trees_as_columns_equal_trees():
+    trees = pii.boost([([k % 5] * len(pii.FEATURES), int(k % 5 > 2)) for k in range(40)], rounds=5)
+    assert all((pii.tree_score(trees, [k] * len(pii.FEATURES)) > 0) == (k > 2) for k in range(5))
+
+
+# --- 8 BPE
+
+def test_bpe(odd, none, plain, monkeypatch):
+    tokenizer = load_tokenizer(bpe.TOKENIZER)
+    ids = [(i, tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in plain]
+    expected = Counter((i, len(x), sha(",".join(map(str, x))), sha(tokenizer.decode(x, skip_special_tokens=False))) for i, x in ids)
+    assert counted(bpe.digest(odd).collect()) == expected
+    encoded = bpe.encode(odd)
+    assert counted((r.doc_id, tuple(np.frombuffer(bytes(r.ids), np.uint32).tolist())) for r in encoded.collect()) == Counter((i, tuple(x)) for i, x in ids)
+    assert counted(bpe.decode(encoded).collect()) == Counter((i, t or "") for i, t in plain)
+    assert bpe.digest(none).count() == 0
+
+
+def test_bpe_joins_are_exact_wherever_chunks_are_cut(monkeypatch):
+    tokenizer, codec = load_tokenizer(bpe.TOKENIZER), bpe.Codec(bpe.TOKENIZER)
+    monkeypatch.setattr(bpe, "cut_points", lambda data, bits=3: np.flatnonzero(np.ndarray((max(0, len(data) - 7),), np.uint64, data, 0, (1,)) % np.uint64(5) == 0) + 8)
+    r = random.Random(1)
+    bits = [" ", "  ", "\n", " ", " ", "a", "'s", "'", "1", "<|endoftext|>", "é", "日本", "!", ".", ",", "\t", "x;", "I'm", "\x1c", "😀", "É!", "-", "_"]
+    for _ in range(800):
+        texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 50))) for _ in range(3)]
+        for text, ids in zip(texts, codec.encode([t.encode() for t in texts]), strict=True):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+            assert codec.decode(ids).decode() == tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+
+
+# --- 9 suffix dedup
+
+def removed(docs):
+    seen = Counter(hash(t[s : s + suffix.LENGTH]) for _, t in docs for s in range(len(t) - suffix.LENGTH + 1))
+    out = Counter()
+    for i, t in docs:
+        gone = np.zeros(len(t) + 1, bool)
+        for s in range(len(t) - suffix.LENGTH + 1):
+            if seen[hash(t[s : s + suffix.LENGTH])] > 1:
+                gone[s : s + suffix.LENGTH] = True
+        gone = gone[: len(t)]
+        kept = bytes(np.frombuffer(t, np.uint8)[~gone])
+        out[(i, len(t), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), sha(kept))] += 1
+    return out
+
+
+@pytest.mark.parametrize("group", [1024, 2])
+def test_suffix_dedup(spark, odd, none, plain, group, monkeypatch):
+    monkeypatch.setattr(suffix, "GROUP", group)
+    r = random.Random(5)
+    source = "".join(r.choice("abcdefgh ") for _ in range(6000))
+    docs = []
+    for k in range(80):
+        a, n = r.randint(0, 5000), r.randint(100, 1500)
+        t = source[a : a + n]
+        if r.random() < 0.5:
+            j = r.randint(0, len(t) - 1)
+            t = t[:j] + r.choice("xyz") + t[j:]
+        docs.append((k, t + t if r.random() < 0.3 else t))
+    docs += [(200, "x" * 399), (201, "x" * 400), (202, "x" * 401), (203, "same" * 150), (203, "same" * 150), (None, source[:900]), (204, "zz" + "x" * 1000 + "yy")]
+    made = spark.createDataFrame(docs, "doc_id long, text string")
+    assert counted(suffix.remove_repeats(made).collect()) == removed([(i, t.encode()) for i, t in docs])
+    small = [(i, (t or "").encode()) for i, t in plain if len(t or "") < 20000]
+    assert counted(suffix.remove_repeats(odd.where("coalesce(length(text), 0) < 20000")).collect()) == removed(small)
+    assert suffix.remove_repeats(none).count() == 0
+
+
+def test_suffix_dedup_small_table(spark, sf):
+    docs = [(r.doc_id, r.text.encode()) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert counted(suffix.query(spark, sf).collect()) == removed(docs)
+
+
+def test_matching_statistics():
+    contexts = [b"abracadabra", b"abracadabri", b"cadabra", b"zzz"]
+    found = suffix.matching_statistics(contexts, np.array([1, 1, 1, 2]))
+    at = 0
+    for c in contexts:
+        for k in range(len(c)):
+            others = [o[j:] for o in contexts[:3] for j in range(len(o)) if not (o is c and j == k)] if c != b"zzz" else [b"zz", b"z"][: 2 - k] if k == 0 else [b"zzz"[j:] for j in range(3) if j != k]
+            best = max(next((n for n in range(min(len(o), len(c) - k), 0, -1) if o[:n] == c[k : k + n]), 0) for o in others)
+            assert found[at + k] == best
+        at += len(c)
+
+
+# --- 10 quality rules
+
+def test_rules(odd, none, plain):
+    weights = rules.fit_weights(odd, odd.select("doc_id").where("doc_id < 12"))
+    expected = Counter()
+    for i, t in plain:
+        w = words(t)
+        windows = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
+        often = Counter(windows)
+        again = {k + j for k, x in enumerate(windows) if often[x] > 1 for j in range(3)}
+        lines = [x for x in (t or "").split("\n") if words(x)]
+        failed = len(w) < 50 or 100 * len(again) > 50 * len(w)
+        expected[(i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(again), failed)] += 1
+    rows = rules.score(odd, weights).collect()
+    assert counted((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows) == expected
+    assert all(r.kept == (not r.base_failed and r.llr >= rules.THRESHOLD) for r in rows)
+    assert {r.llr for r in rows if not r.n_words} == {0.0}
+    kept = rules.keep_good(odd, weights)
+    assert kept.columns == odd.columns and kept.count() == sum(r.kept for r in rows)
+    assert rules.score(none, weights).count() == 0 == rules.keep_good(none, weights).count()
+    flat = rules.fit_weights(odd, odd.select("doc_id").limit(0))
+    assert {r.llr for r in rules.score(odd, flat).collect()} == {0.0}
+    assert len(rules.fit_weights(none, none.select("doc_id"))) == rules.BUCKETS
+
+
+def test_rules_follow_the_labels(spark, sf):
+    folder = sf.replace("sf0.001", "sf0.01")
+    rows = rules.query(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("NOT base_failed").toPandas()
+    assert rows[rows.quality == 1].kept.all()
+    assert not rows[rows.quality == 0].kept.all() and rows[rows.quality == 0].kept.mean() < 0.4
