@@ -88,6 +88,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+", -1), "")
 
 
+def row_of(docs: DataFrame) -> Column:
+    """All columns as one struct, whatever they are called."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import SPACE, staged, table
+from wardline.llm.common import SPACE, row_of, staged, table
 
 #: Filter bits for each row; two probes at this load let about 1 % of unique rows through.
 BITS_PER_ROW = 16
@@ -83,7 +83,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # The filter now holds just the hashes of repeated texts: all other rows pass straight through.
     bits = max(1024, BITS_PER_ROW * groups.count())
     words = staged(repeated_filter(groups.select("_h").unionAll(groups.select("_h")), bits), "bloom")
-    flagged = maybe_repeated(docs.select(F.struct(*docs.columns).alias("_doc"), F.xxhash64(normalised(F.col(text_col))).alias("_h")), words, bits).drop("_h")
+    flagged = maybe_repeated(docs.select(row_of(docs).alias("_doc"), F.xxhash64(normalised(F.col(text_col))).alias("_h")), words, bits).drop("_h")
     flagged = flagged.withColumn("_sha", F.when(F.col("_maybe"), F.sha2(normalised(F.col("_doc")[text_col]), 256)))
     alone = flagged.where(~F.col("_maybe")).select("_doc.*")
     met = flagged.where("_maybe").join(groups.withColumnRenamed("text_sha256", "_sha"), "_sha", "left")

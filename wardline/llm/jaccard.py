@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm import hashing as H
-from wardline.llm.common import map_arrow, partitions, staged, table
+from wardline.llm.common import map_arrow, partitions, row_of, staged, table
 from wardline.llm.exact_dedup import BITS_PER_ROW, maybe_repeated, repeated_filter
 from wardline.llm.tokens import in_parts
 
@@ -405,7 +405,7 @@ def keep_one(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_
     gone = staged(gone.select(F.xxhash64("doc_id").alias("_h"), "doc_id"), "gone")
     bits = min(FILTER_BITS, max(1024, BITS_PER_ROW * gone.count()))
     words = staged(repeated_filter(gone.select("_h").unionAll(gone.select("_h")), bits), "bloom")
-    held = docs.select(F.struct(*docs.columns).alias("_doc"), F.xxhash64(F.col(id_col).cast("long")).alias("_h"))
+    held = docs.select(row_of(docs).alias("_doc"), F.xxhash64(F.col(id_col).cast("long")).alias("_h"))
     tested = maybe_repeated(held, words, bits)
     met = tested.where("_maybe").join(gone.select("doc_id"), F.col("_doc")[id_col].cast("long") == F.col("doc_id"), "left_anti")
     return tested.where("NOT _maybe").select("_doc.*").unionByName(met.select("_doc.*"))

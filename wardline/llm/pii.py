@@ -22,7 +22,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import let, table
+from wardline.llm.common import let, row_of, table
 
 _LOCAL = "A-Za-z0-9._%+-"
 _BYTE = "(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -264,7 +264,7 @@ def redacted(text: Column, found: Column) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with personal data replaced; n_chars, where there is one, follows the text."""
-    held = docs.select(F.struct(*docs.columns).alias("_doc"), spans(F.col(text_col), docs.sparkSession)["all"].alias("_all"))
+    held = docs.select(row_of(docs).alias("_doc"), spans(F.col(text_col), docs.sparkSession)["all"].alias("_all"))
     held = held.select("_doc", redacted(F.col("_doc")[text_col], F.col("_all")).alias("_new"))
     out = []
     for c in docs.columns:

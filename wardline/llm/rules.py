@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import let, table, words_of
+from wardline.llm.common import let, row_of, table, words_of
 
 BUCKETS = 1 << 16
 #: Trusted documents that the target multinomial is fitted on: those with the smallest hash of their id.
@@ -106,7 +106,7 @@ def score(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text_col: str
 
 def keep_good(docs: DataFrame, weights: bytes, text_col: str = "text") -> DataFrame:
     """The documents that pass, unchanged."""
-    held = docs.select(F.struct(*docs.columns).alias("_doc"))
+    held = docs.select(row_of(docs).alias("_doc"))
     return held.where(statistics(F.col("_doc")[text_col], weights)["kept"]).select("_doc.*")
 
 
