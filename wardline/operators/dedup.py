@@ -24,16 +24,28 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column], prefer: C
     return by_reason(tagged.drop("_rank", "_size"))
 
 
+def numbered(df: DataFrame, position: Column, keys: Sequence[Column], blocks: int = 4096) -> DataFrame:
+    """Adds _number, 1-based by position: rows are ranked within blocks of positions, and blocks by one row each."""
+    top = df.agg(F.max(position).alias("top")).first().top
+    width = (top or 0) // blocks + 1
+    marked = df.withColumn("_block", F.coalesce(F.floor(position / width).cast("long"), F.pmod(F.xxhash64(*keys), F.lit(blocks))))
+    sizes = marked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))  # at most 2 * blocks rows
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_block").orderBy(position.asc_nulls_last(), *keys)
+    return marked.withColumn("_in", F.row_number().over(inside)).join(F.broadcast(sizes), "_block").withColumn("_number", F.col("_before") + F.col("_in")).drop("_block", "_in", "_before")
+
+
 def audit(df: DataFrame, keys: Sequence[str], order: Sequence[Column], position: str | None = None, table: str = "T", prefer: Column | None = None) -> DataFrame:
     """All rows of groups with more than one: their columns, duplicate_status, duplicate_group_id, original_row_number.
 
-    Groups are numbered by their first duplicate; the numbering runs over one row a group, not over the rows."""
+    Groups are numbered by their first duplicate; without a position the numbers are unique, in no order."""
     rows = ranked(df, keys, order, prefer).where("_size > 1")
     own = [k for k in keys if k in df.columns]
     at = F.col(position) if position else F.lit(None).cast("long")
     rows = rows.withColumn("duplicate_status", F.when(F.col("_rank") == 1, F.lit("kept")).otherwise(F.lit("removed"))).withColumn("original_row_number", at)
+    named = [F.col(f"_k{i}") for i in range(len(own))]
     groups = rows.where("_rank = 2").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(own)], "original_row_number")
-    first = Window.orderBy(F.col("original_row_number").asc_nulls_last(), *[F.col(f"_k{i}") for i in range(len(own))])
-    groups = groups.withColumn("duplicate_group_id", F.format_string(f"{table}_%d", F.row_number().over(first))).drop("original_row_number")
+    groups = numbered(groups, F.col("original_row_number"), named).withColumn("duplicate_group_id", F.format_string(f"{table}_%d", "_number")).drop("original_row_number", "_number")
     met = rows.join(groups, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(own)])
     return met.drop("_rank", "_size", *[f"_k{i}" for i in range(len(own))])
