@@ -156,13 +156,12 @@ def codec(name: str) -> Codec:
 
 
 def _over(docs: DataFrame, schema: str, columns: list, make) -> DataFrame:
-    """Map texts in parts of about 2 MB; ``make`` gives the columns after the first."""
+    """Map texts in parts of bounded size; ``make`` gives the columns after the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [v or b"" for v in batch.column(1).to_pylist()]
-            for a, b in in_parts(values):
-                cols = make(values[a:b])
+            for a, b, values in in_parts(batch.column(1)):
+                cols = make(values)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols.values()], names=["doc_id", *cols])
 
     return map_arrow(docs.select(*columns), run, schema)

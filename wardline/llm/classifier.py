@@ -88,9 +88,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(2).to_pylist()
-            for a, b in in_parts(values):
-                row, column, value = features(values[a:b])
+            for a, b, values in in_parts(batch.column(2)):
+                row, column, value = features(values)
                 edges = np.searchsorted(row, np.arange(b - a + 1))
                 cut = lambda x, kind: pa.array([x[i:j].astype(kind).tobytes() for i, j in zip(edges[:-1], edges[1:], strict=True)], pa.binary())  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), cut(column, np.int32), cut(value, np.float32)], names=["id", "y", "columns", "values"])
@@ -106,9 +105,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for batch in batches:
-            values = batch.column(2).to_pylist()
-            for a, b in in_parts(values):
-                row, column, value = features(values[a:b])
+            for a, b, values in in_parts(batch.column(2)):
+                row, column, value = features(values)
                 total = np.bincount(row, w[column] * value, b - a) + bias
                 p = np.round(1 / (1 + np.exp(-np.clip(total, -30, 30))), 6)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(p), pa.array((p >= CUT).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])

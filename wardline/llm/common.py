@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -61,21 +62,45 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks and share an executor's memory with the JVM."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        return
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """mapInArrow, after this package was sent to the workers, which may not have it on their path."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        made = os.path.join(tempfile.mkdtemp(prefix="wardline-"), "wardline.zip")
+        folder = tempfile.mkdtemp(prefix="wardline-")
+        atexit.register(shutil.rmtree, folder, True)
+        made = os.path.join(folder, "wardline.zip")
         with zipfile.ZipFile(made, "w") as out:
-            for folder, _, names in os.walk(package):
+            for inner, _, names in os.walk(package):
                 for name in sorted(names):
                     if name.endswith(".py"):
-                        path = os.path.join(folder, name)
+                        path = os.path.join(inner, name)
                         out.write(path, os.path.relpath(path, os.path.dirname(package)))
         context.addPyFile(made)
         _shipped.add(context.applicationId)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -81,7 +81,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The documents that stay, with all their columns. Texts of unique rows do not shuffle, nor do those of dropped ones."""
     groups = digest(docs, id_col, text_col).groups
     # The filter now holds just the hashes of repeated texts: all other rows pass straight through.
-    bits = max(1024, BITS_PER_ROW * groups.count())
+    bits = min(64 * BROADCAST_WORDS, max(1024, BITS_PER_ROW * groups.count()))  # a full filter lets more rows through, but loses none
     words = staged(repeated_filter(groups.select("_h").unionAll(groups.select("_h")), bits), "bloom")
     flagged = maybe_repeated(docs.select(row_of(docs).alias("_doc"), F.xxhash64(normalised(F.col(text_col))).alias("_h")), words, bits).drop("_h")
     flagged = flagged.withColumn("_sha", F.when(F.col("_maybe"), F.sha2(normalised(F.col("_doc")[text_col]), 256)))

@@ -97,9 +97,8 @@ def profile(texts: DataFrame, rule: Rule) -> tuple[DataFrame, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.uint32)
         for batch in batches:
-            values = batch.column(1).to_pylist()
-            for a, b in in_parts(values, 1 << 20):
-                sets = list(shingle_sets(values[a:b], rule.words))
+            for a, b, values in in_parts(batch.column(1)):
+                sets = list(shingle_sets(values, rule.words))
                 np.add.at(sketch, (np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), 1)
                 cols = [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int32()), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([histogram(s) for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays([*cols, empty(b - a, pa.int32()), empty(b - a, pa.binary())], names=["doc_id", "n", "sid", "hist", "block", "counts"])
@@ -153,14 +152,13 @@ def index_lists(texts: DataFrame, classes: np.ndarray, rule: Rule) -> DataFrame:
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order_of, seen = shared.value, set()
         for batch in batches:
-            values = batch.column(1).to_pylist()
-            for a, b in in_parts(values, 1 << 20):
+            for a, b, values in in_parts(batch.column(1)):
                 token, n, sid, pos = [], [], [], []
-                for s in shingle_sets(values[a:b], rule.words):
+                for s in shingle_sets(values, rule.words):
                     key = set_id(s)
                     if not len(s) or key in seen:
                         continue  # copies in this task share their postings
-                    if len(seen) < 1 << 20:
+                    if len(seen) < 1 << 17:
                         seen.add(key)
                     keep = len(s) - -(-rule.percent * len(s) // 100) + 1
                     found = s[np.argsort(order_of[(s % np.uint64(SKETCH)).astype(np.int64)], kind="stable")[:keep]]
@@ -220,28 +218,15 @@ def _pair_batch(a, b) -> pa.RecordBatch:
 def leader_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
     """First round: (a, b) of each set of a block (token, size class) and the block's leader.
 
-    The leader is the set that meets the token first: of near copies, the one with the fewest shingles of its own."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            token, size, sid, n, pos = (batch.column(k).to_numpy() for k in range(5))
-            if lead is not None:
-                token, size, sid, n, pos = (_grow(np.array([x], c.dtype), c) for x, c in zip(lead, (token, size, sid, n, pos), strict=True))
-            new = _grow(np.array([True]), (token[1:] != token[:-1]) | (size[1:] != size[:-1]))
-            at = np.flatnonzero(new)[np.cumsum(new) - 1]
-            small = n[at] <= n
-            n1, p1, n2, p2 = np.where(small, n[at], n), np.where(small, pos[at], pos), np.where(small, n, n[at]), np.where(small, pos, pos[at])
-            good = (sid[at] != sid) & _may_match(rule, n1, p1, n2, p2)
-            lead = tuple(c[at[-1]] for c in (token, size, sid, n, pos))
-            if good.any():
-                yield _pair_batch(sid[at][good], sid[good])
-
+    The leader is the set that meets the token first: of near copies, the one with the fewest shingles of its own. Leaders
+    are found map-side and joined back, so a block that holds a third of all sets is split like any skewed join."""
     sized = lists.select("token", F.floor(F.log(F.col("n").cast("double")) * 8).cast("int").alias("size"), "sid", "n", "pos")
-    dealt = sized.repartition(partitions(lists.sparkSession), "token", "size").sortWithinPartitions("token", "size", "pos", "sid")
-    return map_arrow(dealt, run, "a long, b long").distinct()
+    lead = staged(sized.groupBy("token", "size").agg(F.min(F.struct("pos", "sid", "n")).alias("lead")), "leads")
+    met = sized.join(lead, ["token", "size"]).where("sid <> lead.sid")
+    small, large = F.least("n", "lead.n"), F.greatest("n", "lead.n")
+    room = F.least(F.col("n") - F.col("pos"), F.col("lead.n") - F.col("lead.pos"))
+    good = (rule.percent * large <= 100 * small) & ((100 + rule.percent) * room >= rule.percent * (small + large))
+    return met.where(good).select(F.least("sid", "lead.sid").alias("a"), F.greatest("sid", "lead.sid").alias("b")).distinct()
 
 
 def list_pairs(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
@@ -310,9 +295,8 @@ def fetch_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, rule: Rule
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(1).to_pylist()
-            for a, b in in_parts(values, 1 << 20):
-                sets = list(shingle_sets(values[a:b], rule.words))
+            for a, b, values in in_parts(batch.column(1)):
+                sets = list(shingle_sets(values, rule.words))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "sid", "shingles"])
 
     found = map_arrow(near, run, "rep long, sid long, shingles binary")

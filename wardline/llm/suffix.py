@@ -93,9 +93,8 @@ def _counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(0).to_pylist()
-            for a, b in in_parts(values, 1 << 20):
-                found, count = np.unique(anchors(values[a:b])[2], return_counts=True)
+            for _, _, values in in_parts(batch.column(0)):
+                found, count = np.unique(anchors(values)[2], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], names=["_h", "n"])
 
     return map_arrow(texts.select("text"), run, "_h long, n long")
@@ -106,9 +105,8 @@ def _occurrences(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(2).to_pylist()
-            for a, b in in_parts(values, 1 << 20):
-                doc, place, gram, around, left, size = anchors(values[a:b])
+            for a, _, values in in_parts(batch.column(2)):
+                doc, place, gram, around, left, size = anchors(values)
                 if not len(doc):
                     continue
                 new = np.ones(len(doc), bool)

@@ -145,13 +145,14 @@ def word_encoder(name: str, plain: bool = False) -> WordEncoder:
     return _encoders[name, plain]
 
 
-def in_parts(texts: list[bytes], limit: int = 1 << 20):
-    """Index ranges of about ``limit`` bytes each, one text at least."""
-    first, size = 0, 0
-    for k, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield first, k
-            first, size = k, 0
-        size += len(t)
-    if texts:
-        yield first, len(texts)
+def in_parts(column, limit: int = 1 << 19):
+    """Ranges of a column of byte strings, of about ``limit`` bytes and one string at least, with their values; nulls are empty."""
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, first = np.cumsum(size), 0
+    while first < len(size):
+        done = ends[first - 1] if first else 0
+        stop = max(first + 1, int(np.searchsorted(ends, done + limit, "right")))
+        yield first, stop, [v or b"" for v in column.slice(first, stop - first).to_pylist()]
+        first = stop
