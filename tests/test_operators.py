@@ -134,6 +134,16 @@ def test_thresholds_need_ten_finite_values(spark):
     assert standardize.thresholds(frame(spark, rows, "c string, v string"), "c", "v", approx=True).count() == 2
 
 
+@pytest.mark.parametrize("cells", [1, 7, 4096])
+def test_refined_quantiles_are_exact(spark, cells):
+    df = spark.range(3000).select((F.col("id") % 4).alias("c"), F.expr("CASE id % 4 WHEN 0 THEN pow(id % 97, 3) WHEN 1 THEN 5 WHEN 2 THEN exp(id % 31) ELSE -id END").cast("double").alias("v")).unionAll(spark.sql("SELECT 9L, 1.0D"))
+    levels = (0.01, 0.25, 0.5, 0.99)
+    expected = {r.c: (r.n, [r[f"p{k}"] for k in range(4)]) for r in df.groupBy("c").agg(F.count(F.lit(1)).alias("n"), *[F.percentile("v", p).alias(f"p{k}") for k, p in enumerate(levels)]).where("n >= 10").collect()}
+    got = {r.c: (r.n, r.quantiles) for r in standardize.refined_quantiles(df, "c", "v", levels, cells=cells).collect()}
+    assert got.keys() == expected.keys() == {0, 1, 2, 3}
+    assert all(got[c][0] == expected[c][0] and got[c][1] == pytest.approx(expected[c][1]) for c in got)
+
+
 def test_outliers_keep_bounds_and_what_is_no_number(spark):
     limits = frame(spark, [(1, 0.0, 10.0)], "c int, lower double, upper double")
     rows = [(1, "0"), (1, "10"), (1, "10.1"), (1, "9"), (1, None), (1, "x"), (1, "nan"), (1, "inf"), (2, "1000"), (None, "5")]

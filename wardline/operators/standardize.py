@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.functions.scalars import convert_units, finite, normalise_date, to_double
@@ -21,7 +21,8 @@ def thresholds(df: DataFrame, concept: str, value: str, percentile: float = PERC
     """concept, lower, upper, n, mean, std of the finite values of each concept that has ``least`` of them.
 
     Exact quantiles are taken over distinct values with their counts, so that repeated values are combined before they
-    move; approx takes sketched ones at the snapped levels."""
+    move; approx takes sketched ones at the snapped levels. For concepts of unbounded distinct values there is
+    refined_quantiles()."""
     good = df.select(F.col(concept), to_double(F.col(value)).alias("_v")).where(finite(F.col("_v")) & F.col(concept).isNotNull())
     low, high = snapped(percentile) if approx else ((100 - percentile) / 100, percentile / 100)
     if approx:
@@ -35,6 +36,31 @@ def thresholds(df: DataFrame, concept: str, value: str, percentile: float = PERC
     return grouped.where(F.col("n") >= least)
 
 
+def refined_quantiles(df: DataFrame, concept: str, value: str, levels: Sequence[float], least: int = MIN_VALUES, cells: int = 4096) -> DataFrame:
+    """concept, n, quantiles: the same exact quantiles where one concept has more distinct values than a task can hold.
+
+    Values are counted in ``cells`` equal cells between a concept's least and greatest; only the cells that hold a needed
+    rank are then looked into, so no task gathers a concept."""
+    good = df.select(F.col(concept), to_double(F.col(value)).alias("_v")).where(finite(F.col("_v")) & F.col(concept).isNotNull())
+    counted = good.groupBy(concept, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    whole = counted.groupBy(concept).agg(F.sum("_c").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).where(F.col("n") >= least)
+    cell = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * (cells - 1))).otherwise(F.lit(0)).cast("int")
+    placed = counted.join(whole, concept).withColumn("_cell", cell)
+    cellwise = Window.partitionBy(concept).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    sums = placed.groupBy(concept, "_cell", "n").agg(F.sum("_c").alias("_in")).withColumn("_end", F.sum("_in").over(cellwise))
+    rank = lambda p, f: f((F.col("n") - 1) * F.lit(p)).cast("long")
+    wanted = F.array_distinct(F.array(*[rank(p, f) for p in levels for f in (F.floor, F.ceil)]))
+    holds = F.exists(wanted, lambda k: (k >= F.col("_end") - F.col("_in")) & (k < F.col("_end")))
+    near = sums.where(holds).select(concept, "_cell", (F.col("_end") - F.col("_in")).alias("_before"))
+    inside = Window.partitionBy(concept, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.join(near, [concept, "_cell"]).withColumn("_stop", F.col("_before") + F.sum("_c").over(inside))
+    hit = lambda k: F.max(F.when((k >= F.col("_stop") - F.col("_c")) & (k < F.col("_stop")), F.col("_v")))
+    found = ranked.groupBy(concept, "n").agg(*[hit(rank(p, f)).alias(f"_{i}{f.__name__}") for i, p in enumerate(levels) for f in (F.floor, F.ceil)])
+    share = lambda p: (F.col("n") - 1) * F.lit(p) - rank(p, F.floor)
+    values = [F.col(f"_{i}floor") + (F.col(f"_{i}ceil") - F.col(f"_{i}floor")) * share(p) for i, p in enumerate(levels)]
+    return found.select(concept, "n", F.array(*values).alias("quantiles"))
+
+
 def quantile_table(df: DataFrame, concept: str, value: str, least: int = MIN_VALUES) -> DataFrame:
     """Seven quantiles and the exact least and greatest value of each concept."""
     good = df.select(F.col(concept), to_double(F.col(value)).alias("_v")).where(finite(F.col("_v")))
