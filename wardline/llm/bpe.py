@@ -160,7 +160,7 @@ def _over(docs: DataFrame, schema: str, columns: list, make) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, values in in_parts(batch.column(1)):
+            for a, b, values in in_parts(batch.column(1), 1 << 20):
                 cols = make(values)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols.values()], names=["doc_id", *cols])
 

@@ -37,7 +37,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
 
         encoder, pack = word_encoder(tokenizer), zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            for a, b, texts in in_parts(batch.column(3)):
+            for a, b, texts in in_parts(batch.column(3), 1 << 20):
                 ids, count = encoder.encode(texts)
                 parts = [np.append(x, encoder.dtype(end_id)) for x in np.split(ids, np.cumsum(count)[:-1])]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(3)), pa.array(count + 1, pa.int64()), pa.array([pack(x.tobytes()) for x in parts], pa.binary())], names=["_row", "doc_id", "source", "n", "ids"])

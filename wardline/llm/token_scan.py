@@ -48,7 +48,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER,
         path, done, ordinal = f"{base}/{uuid.uuid4().hex}.tokens", 0, 0  # a task that runs again writes another file
         with system.open_output_stream(path) as out:
             for batch in batches:
-                for a, b, values in in_parts(batch.column(1)):
+                for a, b, values in in_parts(batch.column(1), 1 << 20):
                     ids, count = encoder.encode(values)
                     ids = np.insert(ids, np.cumsum(count), end_id)
                     out.write(ids.astype(encoder.dtype).tobytes())
