@@ -249,7 +249,8 @@ def _aligned(rows: list[tuple]) -> list[tuple]:
     same = key[order[1:]] == key[order[:-1]]
     hit = np.zeros(len(key), bool)
     hit[order[1:][same]] = hit[order[:-1][same]] = True
-    return [(rows[k][0], rows[k][1], a - rows[k][2], b - rows[k][2]) for k in range(len(rows)) for a, b in _spans_of(start[hit & (own == k)])]
+    each = np.split(hit, np.cumsum(size)[:-1])
+    return [(h, ch, a - left, b - left) for (h, ch, left, *_), found in zip(rows, each, strict=True) for a, b in _spans_of(np.flatnonzero(found))]
 
 
 def _indexed(contexts: DataFrame) -> DataFrame:
