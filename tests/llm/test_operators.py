@@ -200,6 +200,28 @@ def test_licenses(odd, none, spark):
     assert licenses.scan(none).count() == 0
 
 
+def test_licenses_of_common_families(odd, none, spark):
+    filler = "lorem ipsum dolor sit amet "
+    gnu = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    cases = {
+        "Licensed under the MIT License": "mit", "SPDX-License-Identifier: MIT": "mit", "// SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0) OR BSD-3-Clause\nint x;": "bsd-3-clause,gpl-2.0-only",
+        "Licensed under either of Apache License, Version 2.0 or MIT license at your option.": "apache-2.0,mit", "released under the BSD 3-Clause License": "bsd-3-clause", "Released under the BSD License.": "bsd",
+        "is under the ISC license.": "isc", "under GPLv2 or later": "gpl-2.0", "under the GNU Lesser General Public License v2.1": "lgpl-2.1", "under the terms of the GNU Affero General Public License": "agpl",
+        "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa-4.0", "under CC BY 3.0": "cc-by-3.0", "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0", "under the Mozilla Public License, version 2.0": "mpl-2.0",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0", "hidden under the old bridge, the license says": "", "It came under the General's command": "",
+        gnu.format("General Public License", "2"): "gpl-2.0-header", gnu.format("General Public License", "3"): "gpl-3.0-header", gnu.format("Lesser General Public License", "2.1"): "lgpl-2.1-header", gnu.format("Lesser General Public License", "3"): "lgpl-3.0-header", gnu.format("Affero General Public License", "3"): "agpl-3.0-header",
+    }
+    for name in ("bsd-conditions", "bsd-4-clause", "isc-permission", "mpl-2.0-notice", "unlicense", "zlib-permission", "bsl-1.0-permission", "cc0-1.0-deed"):
+        held = licenses.NOTICES[name]
+        cases |= {filler * k + (held if isinstance(held, str) else held[0]) + " " + filler * 2: name for k in range(4)}
+    cases |= {licenses.NOTICES["apache-2.0-header"]: "apache-2.0,apache-2.0-header", licenses.NOTICES["bsd-3-clause"][0].replace("the copyright holder", "Example University"): "bsd-3-clause"}
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string"), licenses.COVERED, names=True).collect()
+    got = {list(cases)[r.doc_id]: r.licenses for r in rows}
+    assert {t: n for t, n in got.items() if n != cases[t]} == {} and all(r.n_licenses == len([x for x in r.licenses.split(",") if x]) for r in rows)
+    whole = lambda d: licenses.scan(d, licenses.COVERED, names=True)
+    assert whole(odd).where("n_licenses > 0").count() == 0 and whole(odd).count() == odd.count() and whole(none).count() == 0
+
+
 # --- 6 token counts
 
 @pytest.mark.parametrize("block", [5, 64, 1 << 19])

@@ -8,10 +8,15 @@ template's windows. Shorter templates have windows of one shingle, whose MinHash
 retrieved whenever one shingle is there. A retrieved template is reported where the text holds at least 0.8 of its distinct
 shingles.
 
+The registered query looks for ``COVERED``: the fixed ``TEMPLATES``, which are all that the SQL knows, and ``NOTICES``, the
+headers and permission texts of the common families. Beside the templates it reads what five-word shingles cannot hold:
+grants by name ("under the MIT License or Apache-2.0", ``NAMES``) and SPDX tags, whose expressions may name any license.
+A name without a version (``gpl``) is left out where one of its versions is found.
+
 Everything is evaluated within the row; templates are few and travel as literals. Nothing shuffles.
 
-Defined results: null and empty texts, and those below five words, have no licenses (count 0, empty string); repeated rows
-and null ids give a row each; an empty table gives no rows.
+Defined results: null and empty texts have no licenses (count 0, empty string), nor do those below five words, unless they
+name one; repeated rows and null ids give a row each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,6 +45,91 @@ TEMPLATES = {
     ),
 }
 
+_GNU = "under the terms of the GNU {} as published by the Free Software Foundation{} version {} of the License"
+
+
+def _header(family: str, version: str) -> tuple[str, ...]:
+    """Wordings short enough (at most 19 shingles) that another family or version breaks more than a fifth of them."""
+    return tuple(_GNU.format(family, either, version) for either in (", either", ";"))
+
+
+#: Headers and permission texts of the common families; a name may have several wordings.
+NOTICES = {
+    "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    "gpl-2.0-header": _header("General Public License", "2"),
+    "gpl-3.0-header": _header("General Public License", "3"),
+    "lgpl-2.0-header": _header("Library General Public License", "2"),
+    "lgpl-2.1-header": _header("Lesser General Public License", "2.1"),
+    "lgpl-3.0-header": _header("Lesser General Public License", "3"),
+    "agpl-3.0-header": _header("Affero General Public License", "3"),
+    "bsd-conditions": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
+    "bsd-3-clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    "bsd-4-clause": "All advertising materials mentioning features or use of this software must display the following acknowledgement:",
+    "isc-permission": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "zlib-permission": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "bsl-1.0-permission": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") "
+        "to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so"
+    ),
+    "cc0-1.0-deed": "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law",
+}
+COVERED = TEMPLATES | NOTICES
+
+_LICENSE = "licen[cs]e"
+
+
+def _versions(name: str, title: str, *versions: str) -> dict[str, str]:
+    """Patterns of a family: its versions, and its name without one."""
+    found = {}
+    for v in versions:
+        digits = v.replace(".", "") if not v.endswith(".0") else f"{v[:-2]}0?"
+        found[f"{name}-{v}"] = f"(?:{title})(?: version| v)?(?: |(?=v?[0-9]))v?{digits}(?:only|orlater)?"
+    return found | {name: title}
+
+
+def _names() -> dict[str, str]:
+    """Patterns of names of licenses, over lower-case words without marks."""
+    gnu = lambda short, long: f"(?:gnu )?(?:{short}|{long}general public {_LICENSE})(?: {short})?"
+    found = {"mit": f"(?:mit|expat)(?: {_LICENSE})?", "isc": f"isc(?: {_LICENSE})?", "zlib": f"zlib(?: {_LICENSE})?", "unlicense": "unlicense", "wtfpl": "wtfpl", "0bsd": "0bsd|zero clause bsd", "cc0-1.0": "(?:cc0|creative commons zero)(?: ?10)?(?: universal)?"}
+    for k, word in ((2, "two|simplified|freebsd"), (3, "three|new|revised|modified"), (4, "four|original")):
+        found[f"bsd-{k}-clause"] = f"bsd ?{k} ?clause|bsd{k}|(?:{k}|{word}) ?(?:clause )?bsd"
+    found["bsd"] = f"bsd(?: style)? {_LICENSE}"
+    found |= _versions("apache", f"apache(?: software)?(?: {_LICENSE})?|asl", "1.1", "2.0")
+    found |= _versions("gpl", gnu("gpl", "(?<!lesser )(?<!library )(?<!affero )"), "1.0", "2.0", "3.0") | _versions("lgpl", gnu("lgpl", "(?:lesser|library) "), "2.0", "2.1", "3.0") | _versions("agpl", gnu("agpl", "affero "), "1.0", "3.0")
+    found |= _versions("mpl", f"mozilla public {_LICENSE}(?: mpl)?|mpl", "1.1", "2.0") | _versions("epl", f"eclipse public {_LICENSE}(?: epl)?|epl", "1.0", "2.0")
+    found |= _versions("eupl", f"european union public {_LICENSE}(?: eupl)?|eupl", "1.1", "1.2") | _versions("cddl", f"common development and distribution {_LICENSE}(?: cddl)?|cddl", "1.0", "1.1")
+    found |= _versions("bsl", f"boost software {_LICENSE}", "1.0") | _versions("artistic", f"artistic {_LICENSE}", "1.0", "2.0") | _versions("ofl", f"sil open font {_LICENSE}", "1.1")
+    parts = {"nc": "non ?commercial", "nd": "no ?deriv(?:ative)?s?(?: works)?", "sa": "share ?alike"}
+    for kinds in ((), ("sa",), ("nc",), ("nd",), ("nc", "sa"), ("nc", "nd")):
+        short, long = "".join(f" ?{k}" for k in kinds), "".join(f" ?{parts[k]}" for k in kinds)
+        title = f"cc ?by{short}|creative commons attribution{long}"
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            found["-".join(("cc-by", *kinds, v))] = f"(?:{title})(?: {_LICENSE})?(?: version)? ?v?{v.replace('.', '')}(?: (?:international|unported|generic))?"
+        found["-".join(("cc-by", *kinds))] = title
+    return found
+
+
+NAMES = _names()
+_FILL = f"the|a|an|of|both|either|terms|conditions|and|or|andor|dual|{_LICENSE}s?|at|your|option|any|later|version"
+_NAMED = f" under(?=((?:(?: (?:{_FILL})(?= ))*+ (?:{'|'.join(f'(?:{p})' for p in NAMES.values())})(?= ))+))"
+#: Names of families, left out where a longer name of theirs is found.
+FAMILIES = [n for n in NAMES if any(m.startswith(n + "-") for m in NAMES)]
+_SPDX = "(?<![A-Za-z0-9])(?i:SPDX-License-Identifier):[(\\x20\\t]*+([A-Za-z0-9][A-Za-z0-9.+-]*+(?:[)\\x20\\t]++(?:OR|AND|WITH)[(\\x20\\t]++[A-Za-z0-9][A-Za-z0-9.+-]*+)*+)"
+
 
 def tokens(text: Column) -> Column:
     """Lower-case words without marks."""
@@ -71,47 +161,74 @@ def text_bands(hashes: Column) -> Column:
     return F.when(F.size(hashes) < LONG, F.array().cast("array<bigint>")).otherwise(let(F.transform(starts, block), pairs))
 
 
-def template_index(spark: SparkSession, templates: dict[str, str]) -> dict[str, tuple[list[int], list[int], list[int]]]:
-    """For each template its distinct shingles, and the shingles or band keys that retrieve it."""
-    texts = spark.range(1).select(F.posexplode(F.array(*(F.lit(t) for t in templates.values()))).alias("i", "t"))
+def template_index(spark: SparkSession, templates: dict[str, str | tuple[str, ...]]) -> list[tuple[str, list[int], list[int], list[int]]]:
+    """For each wording its name, its distinct shingles, and the shingles or band keys that retrieve it."""
+    wordings = [(n, t) for n, held in sorted(templates.items()) for t in ([held] if isinstance(held, str) else held)]
+    texts = spark.range(1).select(F.posexplode(F.array(*(F.lit(t) for _, t in wordings))).alias("i", "t"))
     hashed = {r.i: list(r.h) for r in texts.select("i", let(tokens(F.col("t")), shingles).alias("h")).collect()}
-    every = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.array(*(F.lit(x) for x in h)).alias("h")) for i, h in hashed.items() if len(h) >= LONG))).alias("w")).select("w.*")
-    windows = every.select("i", F.explode(F.transform(F.sequence(F.lit(1), F.size("h") - 2 * BLOCK + 1), lambda k: F.slice("h", k, F.lit(2 * BLOCK)))).alias("w"))
-    minima = [F.array_min(F.transform("w", lambda x: x.bitwiseXOR(F.lit(m)))) for m in _seeds()]  # noqa: B023
     keys: dict[int, set[int]] = {}
     if any(len(h) >= LONG for h in hashed.values()):
+        every = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.array(*(F.lit(x) for x in h)).alias("h")) for i, h in hashed.items() if len(h) >= LONG))).alias("w")).select("w.*")
+        windows = every.select("i", F.explode(F.transform(F.sequence(F.lit(1), F.size("h") - 2 * BLOCK + 1), lambda k: F.slice("h", k, F.lit(2 * BLOCK)))).alias("w"))
+        minima = [F.array_min(F.transform("w", lambda x: x.bitwiseXOR(F.lit(m)))) for m in _seeds()]  # noqa: B023
         for r in windows.select("i", F.explode(F.array(*_bands(minima))).alias("k")).distinct().collect():
             keys.setdefault(r.i, set()).add(r.k)
-    return {name: (sorted(set(hashed[i])), [] if i in keys else sorted(set(hashed[i])), sorted(keys.get(i, ()))) for i, name in enumerate(templates)}
+    return [(name, sorted(set(hashed[i])), [] if i in keys else sorted(set(hashed[i])), sorted(keys.get(i, ()))) for i, (name, _) in enumerate(wordings)]
 
 
-def found(text: Column, index: dict[str, tuple[list[int], list[int], list[int]]]) -> Column:
+def found(text: Column, index: list[tuple[str, list[int], list[int], list[int]]]) -> Column:
     """Names of the templates that a text holds, in order."""
-    single, banded = ([x for t in index.values() for x in t[k]] for k in (1, 2))
+    return let(tokens(text), lambda w: held_in(w, index))
+
+
+def held_in(words: Column, index: list[tuple[str, list[int], list[int], list[int]]]) -> Column:
+    """The same for the words of a text."""
+    single, banded = ([x for t in index for x in t[k]] for k in (2, 3))
     numbers = lambda v: F.array(*(F.lit(x) for x in v)).cast("array<bigint>")
 
-    def verified(h: Column, name: str) -> Column:
-        own = index[name][0]
+    def verified(h: Column, name: str, own: list[int]) -> Column:
         return F.when(F.size(F.array_intersect(numbers(own), h)) * 100 >= PERCENT * len(own), F.lit(name))
 
     def scan(h: Column) -> Column:
         near = F.filter(h, lambda x: x.isin(single))
         far = F.filter(text_bands(h), lambda x: x.isin(banded))
-        check = lambda hits: F.array_compact(F.array(*(F.when(F.arrays_overlap(hits, numbers(index[n][1] or index[n][2])), verified(h, n)) for n in sorted(index) if index[n][0])))
+        check = lambda hits: F.array_distinct(F.array_compact(F.array(*(F.when(F.arrays_overlap(hits, numbers(one or many)), verified(h, n, own)) for n, own, one, many in index if own))))
         return let(F.concat(near, far), lambda hits: F.when(F.size(hits) == 0, F.array().cast("array<string>")).otherwise(check(hits)))
 
-    return let(let(tokens(text), shingles), scan)
+    return let(shingles(words), scan)
+
+
+def named_in(words: Column) -> Column:
+    """Names of the licenses that a text grants by name; each grant is a chain of names after "under"."""
+    each = lambda c: F.array_compact(F.array(*(F.when(c.rlike(f" (?:{p}) "), F.lit(n)) for n, p in NAMES.items())))
+    chains = F.regexp_extract_all(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), F.lit(_NAMED), F.lit(1))
+    return F.flatten(F.transform(chains, lambda c: each(F.concat(c, F.lit(" ")))))
+
+
+def tagged_in(text: Column) -> Column:
+    """Licenses of SPDX tags, in lower case; exceptions are no licenses."""
+    terms = lambda e: F.split(F.regexp_replace(e, "[()\\x20\\t]++WITH[()\\x20\\t]++[A-Za-z0-9.+-]++", ""), "[()\\x20\\t]++(?:OR|AND)[()\\x20\\t]++", -1)
+    every = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_SPDX), F.lit(1)), terms))
+    return F.filter(F.transform(every, lambda x: F.lower(F.regexp_replace(x, "\\.+$", ""))), lambda x: ~x.isin("none", "noassertion"))
+
+
+def covered(text: Column, index: list[tuple[str, list[int], list[int], list[int]]]) -> Column:
+    """Names of all licenses of a text, in order: templates, grants by name and SPDX tags."""
+    tags = F.when(text.rlike("(?i)SPDX-License-Identifier:"), tagged_in(text))
+    every = let(tokens(text), lambda w: F.concat(held_in(w, index), named_in(w), F.coalesce(tags, F.array().cast("array<string>"))))
+    own = lambda a: F.filter(a, lambda x: ~(x.isin(FAMILIES) & F.exists(a, lambda y: y.startswith(F.concat(x, F.lit("-"))))))
+    return F.array_sort(F.array_distinct(let(every, own)))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_licenses, licenses (names, comma-joined, in order)."""
+def scan(docs: DataFrame, templates: dict[str, str | tuple[str, ...]] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text", names: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_licenses, licenses (names, comma-joined, in order). ``names``: grants by name and SPDX tags too."""
     index = template_index(docs.sparkSession, templates)
-    held = docs.select(F.col(id_col).alias("doc_id"), found(F.col(text_col), index).alias("_f"))
+    held = docs.select(F.col(id_col).alias("doc_id"), (covered if names else found)(F.col(text_col), index).alias("_f"))
     return held.select("doc_id", F.size("_f").cast("long").alias("n_licenses"), F.array_join("_f", ",").alias("licenses"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents"), COVERED, names=True)
 
 
 def _sql() -> str:
