@@ -285,6 +285,20 @@ def test_candidates_and_redaction(spark):
     assert all(x.n_chars == (len(x.text) if x.text is not None else None) for x in new)
 
 
+def test_national_numbers_spelled_addresses_and_ipv6(spark):
+    cases = {
+        "tel. 06 12 34 56 78 now": "tel. [PHONE] now", "Telefon 030 12345678": "Telefon [PHONE]", "Tel. 089/1234567": "Tel. [PHONE]", "llame 91 123 45 67": "llame [PHONE]", "movil 612 345 678.": "movil [PHONE].", "phone 2125550199": "phone [PHONE]", "Rufnummer 0171-2345678": "Rufnummer [PHONE]", "appelez le 0612345678": "appelez le [PHONE]",
+        "ask jane at example dot com today": "ask [EMAIL] today", "mail jane at example.org": "mail [EMAIL]", "jane @ example.com": "[EMAIL]", "jane(at)example(dot)co(dot)uk": "[EMAIL]",
+        "seen 2001:0db8:85a3:0000:0000:8a2e:0370:7334 twice": "seen [IP] twice", "host fe80::1 is up": "host [IP] is up", "to 2001:db8::8a2e:370:7334.": "to [IP].",
+    }
+    same = ["rows 2125550199", "call on 2024-05-17", "hotel 1234567 old", "total 06 12 34 56 78", "list[at] index. size", "look at the dot in it", "we met at example.com", "stay at home. Then", "able at and. It has", "at 10:30:45 sharp", "mac aa:bb:cc:dd:ee:ff", "std::vector a::b", "order 123456789012"]
+    texts = [*cases, *same]
+    got = pii.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert {t: x.text for t, x in zip(texts, got, strict=True) if x.text != cases.get(t, t)} == {}
+    kinds = {k: {y for kind, _, y in pii.examples() if kind == k} for k in pii.CANDIDATES}
+    assert all(v == {0, 1} for v in kinds.values())
+
+
 def test_trees_as_columns_equal_trees():
     trees = pii.boost([([k % 5] * len(pii.FEATURES), int(k % 5 > 2)) for k in range(40)], rounds=5)
     assert all((pii.tree_score(trees, [k] * len(pii.FEATURES)) > 0) == (k > 2) for k in range(5))
