@@ -408,6 +408,14 @@ def test_rules(odd, none, plain):
     assert len(rules.fit_weights(none, none.select("doc_id"))) == rules.BUCKETS
 
 
+def test_weights_do_not_depend_on_size(spark):
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *(F.concat(F.lit("w"), (F.col("id") * k) % (3 + k)) for k in range(1, 9))).alias("text"))
+    docs = docs.union(docs.limit(3).withColumn("doc_id", F.lit(None)))
+    more = docs.crossJoin(spark.range(120)).select((F.col("doc_id") + F.col("id") * 100).alias("doc_id"), "text")
+    once, often = (rules.fit_weights(d, d.where("doc_id % 100 < 40").select("doc_id")) for d in (docs, more))
+    assert once == often and len(set(once)) > 1
+
+
 def test_rules_follow_the_labels(spark, sf):
     folder = sf.replace("sf0.001", "sf0.01")
     rows = rules.query(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("NOT base_failed").toPandas()

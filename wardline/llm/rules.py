@@ -1,12 +1,12 @@
 """Operator 10, quality rules: word and line statistics, then a hashed n-gram log-likelihood ratio.
 
 Every document is scored by the mean, over its hashed word n-grams, of log p_target(bucket) - log p_raw(bucket). The raw
-multinomial counts every n-gram of every document; the target multinomial counts those of at most ``TARGET_ROWS`` trusted
-documents (labelled quality 1), a documented bound. Documents whose mean is below ``THRESHOLD`` are rejected, all by the
+multinomial counts every n-gram of every document; the target multinomial counts those of all trusted documents (labelled
+quality 1), whose ids are joined by a shuffle of ids and texts. Documents whose mean is below ``THRESHOLD`` are rejected, all by the
 same rule. Both tables have ``BUCKETS`` rows whatever the input, so the weights travel as one literal of 64 KB.
 
-All expressions are evaluated within the row: no text is exploded into rows that shuffle, except as bucket counts, which
-are combined map-side to at most BUCKETS rows a task.
+Scores are evaluated within the row. N-grams shuffle only as bucket counts, which are combined to at most BUCKETS rows a
+task before.
 
 Defined results: null and empty texts have no words, all counts 0, base_failed true, kept false, llr 0. Repeated rows and
 null ids are scored each on their own. Without trusted documents all weights are 0 and only the base rule rejects.
@@ -22,13 +22,12 @@ from pyspark.sql import functions as F
 from wardline.llm.common import let, row_of, table, words_of
 
 BUCKETS = 1 << 16
-#: Trusted documents that the target multinomial is fitted on: those with the smallest hash of their id.
-TARGET_ROWS = 4096
 #: Mean log ratio under which a document is rejected.
 THRESHOLD = -0.16
-#: Counts added to both the target's count of a bucket and the count the raw corpus would lead one to expect: buckets that
-#: the target is too small to tell about weigh next to nothing, so clean texts of rare words stay.
-PSEUDO = 10
+#: Share of the target's mean count of a bucket that is added to both its count of a bucket and the count the raw corpus would
+#: lead one to expect: buckets that the target is too small to tell about weigh next to nothing, so clean texts of rare words
+#: stay. A share, so that the same corpus at another size has the same weights; this one is 10 counts at 3,409 trusted documents.
+PSEUDO = 0.24
 #: Weights are kept as one byte each, in steps of 1/32 from -2.5 to 1.46875; 80 stands for 0.
 STEP, LOWEST = 32, -2.5
 MIN_WORDS, SYMBOLS = 50, "[#*$%&|<>]"
@@ -43,8 +42,9 @@ def buckets(words: Column) -> Column:
 
 def fit_weights(docs: DataFrame, trusted: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> bytes:
     """One byte a bucket: the quantised log ratio of the target to the raw multinomial. ``trusted`` holds ids."""
-    ids = trusted.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct().orderBy(F.xxhash64("_id"), "_id").limit(TARGET_ROWS)
-    marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(ids.withColumn("_target", F.lit(1))), "_id", "left")
+    ids = trusted.select(F.col(id_col).alias("_id"), F.lit(0).cast("long").alias("_salt"), F.lit(1).alias("_target")).where("_id IS NOT NULL").distinct()
+    text, salt = F.col(text_col), F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.lit(0))  # null ids are not trusted, and spread
+    marked = docs.select(F.col(id_col).alias("_id"), salt.cast("long").alias("_salt"), text.alias("_t")).join(ids.hint("shuffle_hash"), ["_id", "_salt"], "left")
     grams = marked.select(F.coalesce("_target", F.lit(0)).alias("target"), F.explode(let(words_of(F.col("_t")), buckets)).alias("b"))
     counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.sum("target").alias("target")).collect()
     raw, target = [0] * BUCKETS, [0] * BUCKETS
@@ -53,7 +53,8 @@ def fit_weights(docs: DataFrame, trusted: DataFrame, text_col: str = "text", id_
     n_raw, n_target = sum(raw), sum(target)
     if not n_target:
         return bytes([int(-LOWEST * STEP)]) * BUCKETS
-    ratio = ((t + PSEUDO) / (r * n_target / n_raw + PSEUDO) for t, r in zip(target, raw, strict=True))
+    more = PSEUDO * n_target / BUCKETS
+    ratio = ((t + more) / (r * n_target / n_raw + more) for t, r in zip(target, raw, strict=True))
     return bytes(max(0, min(127, round((math.log(x) - LOWEST) * STEP))) for x in ratio)
 
 
