@@ -106,6 +106,21 @@ def test_exact_dedup_beyond_the_broadcast_bound(odd, plain, monkeypatch):
     assert exact_dedup.exact_dedup(odd).where("kept").count() == len(deduped(plain))
 
 
+def test_full_filter_stays_broadcast_and_loses_none(spark, odd, monkeypatch):
+    assert exact_dedup.filter_bits(10**9) == 1 << 26
+    expected = counted(exact_dedup.exact_dedup(odd).collect())
+    monkeypatch.setattr(exact_dedup, "BROADCAST_WORDS", 1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert counted(exact_dedup.exact_dedup(odd).collect()) == expected
+        rows = spark.range(9).select(F.xxhash64("id").alias("_h"))
+        plan = exact_dedup.maybe_repeated(rows, exact_dedup.repeated_filter(rows, 1024), 1024)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 # --- 3 classifier
 
 def test_classifier_held_out(spark, sf):

@@ -21,7 +21,7 @@ from wardline.llm.common import SPACE, row_of, staged, table
 
 #: Filter bits for each row; two probes at this load let about 1 % of unique rows through.
 BITS_PER_ROW = 16
-#: The filter is broadcast up to so many 64-bit words (about 64 MB as a hash relation); beyond it is joined by shuffle.
+#: The filter is broadcast and has at most so many 64-bit words (about 64 MB as a hash relation).
 BROADCAST_WORDS = 1 << 20
 
 
@@ -40,6 +40,11 @@ def _probes(h: Column, bits: int) -> list[Column]:
     return [F.pmod(h, F.lit(bits)), F.pmod(F.xxhash64(h), F.lit(bits))]
 
 
+def filter_bits(rows: int) -> int:
+    """Size of the filter for so many hashes; a full filter lets more rows through, but loses none."""
+    return max(1024, min(64 * BROADCAST_WORDS, BITS_PER_ROW * rows))
+
+
 def repeated_filter(hashes: DataFrame, bits: int) -> DataFrame:
     """64-bit words (word, mask) of the Bloom filter of positions that at least two rows hit; column ``_h`` holds hashes."""
     hit = hashes.select(F.explode(F.array(*_probes(F.col("_h"), bits))).alias("p")).groupBy("p").count().where("count > 1")
@@ -48,7 +53,7 @@ def repeated_filter(hashes: DataFrame, bits: int) -> DataFrame:
 
 def maybe_repeated(rows: DataFrame, words: DataFrame, bits: int) -> DataFrame:
     """Second pass: adds ``_maybe``, true where both probes hit the filter."""
-    side = F.broadcast(words) if bits // 64 <= BROADCAST_WORDS else words
+    side = F.broadcast(words)
     for k, probe in enumerate(_probes(F.col("_h"), bits)):
         rows = rows.withColumn(f"_p{k}", probe).withColumn(f"_w{k}", F.shiftright(f"_p{k}", 6))
         rows = rows.join(side.toDF(f"_w{k}", f"_m{k}"), f"_w{k}", "left")
@@ -59,7 +64,7 @@ def maybe_repeated(rows: DataFrame, words: DataFrame, bits: int) -> DataFrame:
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Digest:
     norm = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")).select("doc_id", F.length("_t").cast("long").alias("_n"), normalised(F.col("_t")).alias("_t"))
     rows = staged(norm.select("doc_id", "_n", F.xxhash64("_t").alias("_h"), F.sha2("_t", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row")), "digest")
-    bits = max(1024, BITS_PER_ROW * rows.count())
+    bits = filter_bits(rows.count())
     words = staged(repeated_filter(rows, bits), "bloom")
     rows = staged(maybe_repeated(rows, words, bits), "tested")
     first = F.min(F.struct((-F.col("_n")).alias("n"), "doc_id", "_row"))
@@ -81,7 +86,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The documents that stay, with all their columns. Texts of unique rows do not shuffle, nor do those of dropped ones."""
     groups = digest(docs, id_col, text_col).groups
     # The filter now holds just the hashes of repeated texts: all other rows pass straight through.
-    bits = min(64 * BROADCAST_WORDS, max(1024, BITS_PER_ROW * groups.count()))  # a full filter lets more rows through, but loses none
+    bits = filter_bits(groups.count())
     words = staged(repeated_filter(groups.select("_h").unionAll(groups.select("_h")), bits), "bloom")
     flagged = maybe_repeated(docs.select(row_of(docs).alias("_doc"), F.xxhash64(normalised(F.col(text_col))).alias("_h")), words, bits).drop("_h")
     flagged = flagged.withColumn("_sha", F.when(F.col("_maybe"), F.sha2(normalised(F.col("_doc")[text_col]), 256)))
