@@ -360,9 +360,14 @@ def removed(docs):
     return out
 
 
+def contract(found):
+    return counted(found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+
+
 @pytest.mark.parametrize("group", [1024, 2])
 def test_suffix_dedup(spark, odd, none, plain, group, monkeypatch):
     monkeypatch.setattr(suffix, "GROUP", group)
+    monkeypatch.setattr(suffix, "SEGMENT", 1000 if group == 2 else 1 << 22)
     r = random.Random(5)
     source = "".join(r.choice("abcdefgh ") for _ in range(6000))
     docs = []
@@ -375,15 +380,38 @@ def test_suffix_dedup(spark, odd, none, plain, group, monkeypatch):
         docs.append((k, t + t if r.random() < 0.3 else t))
     docs += [(200, "x" * 399), (201, "x" * 400), (202, "x" * 401), (203, "same" * 150), (203, "same" * 150), (None, source[:900]), (204, "zz" + "x" * 1000 + "yy")]
     made = spark.createDataFrame(docs, "doc_id long, text string")
-    assert counted(suffix.remove_repeats(made).collect()) == removed([(i, t.encode()) for i, t in docs])
-    small = [(i, (t or "").encode()) for i, t in plain if len(t or "") < 20000]
-    assert counted(suffix.remove_repeats(odd.where("coalesce(length(text), 0) < 20000")).collect()) == removed(small)
+    assert contract(suffix.remove_repeats(made)) == removed([(i, t.encode()) for i, t in docs])
+    assert contract(suffix.remove_repeats(odd)) == removed([(i, (t or "").encode()) for i, t in plain])
     assert suffix.remove_repeats(none).count() == 0
 
 
 def test_suffix_dedup_small_table(spark, sf):
     docs = [(r.doc_id, r.text.encode()) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
-    assert counted(suffix.query(spark, sf).collect()) == removed(docs)
+    found = suffix.query(spark, sf)
+    assert contract(found) == removed(docs)
+    passages = {r.doc_id: r.n_passages for r in found.collect()}
+
+    def sharing(n):
+        """Documents that hold n words in a row that another document holds too."""
+        holders = {}
+        for i, t in docs:
+            w = re.findall(rb"[^\x20\x09-\x0D]+", t)
+            for k in range(len(w) - n + 1):
+                holders.setdefault(hash(tuple(w[k : k + n])), set()).add(i)
+        return set().union(*(x for x in holders.values() if len(x) > 1))
+
+    some = {i for i, n in passages.items() if n}
+    assert sharing(suffix.PASSAGE) <= some <= sharing(suffix.WORD_GRAM)
+
+
+def test_long_text_is_read_in_segments(spark, monkeypatch):
+    r = random.Random(3)
+    text = " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 9))) for _ in range(3000))
+    docs = [(1, text), (2, text[5000:7000]), (3, "y" * 3000 + text[9000:9350]), (4, text[:3000] + text[:500])]
+    made = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = counted(suffix.remove_repeats(made).collect())
+    monkeypatch.setattr(suffix, "SEGMENT", 700)
+    assert counted(suffix.remove_repeats(made).collect()) == whole
 
 
 def test_matching_statistics():

@@ -23,6 +23,7 @@ other and lose all that is long enough, null ids included; an empty table gives
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +39,13 @@ from wardline.llm.tokens import in_parts
 LENGTH, GRAM = 400, 200
 REACH = LENGTH - GRAM  # bytes before an anchor that a string which holds it may start
 #: Contexts of one anchor that are indexed in one task, and bytes that are indexed at once.
-GROUP, CHUNK = 1024, 3 << 18
+GROUP, CHUNK = 256, 3 << 18
 FILTER_BITS = 1 << 26
+#: Words of a passage that is reported beside the removed bytes, and of the grams that find it.
+PASSAGE, WORD_GRAM = 51, 38
+#: Bytes of a text that are hashed at once.
+SEGMENT = 1 << 22
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -82,6 +88,58 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return doc, place - starts[doc], grams[place], around, place - left, stop - left
 
 
+def segments(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Numbers of texts, where their segments start and the segments, a bounded number of bytes at a time; those of one text share LENGTH - 1 bytes."""
+    own, at, held, size = [], [], [], 0
+    for k, text in enumerate(texts):
+        for a in range(0, max(1, len(text) - LENGTH + 1), SEGMENT):
+            own.append(k)
+            at.append(a)
+            held.append(text[a : a + SEGMENT + LENGTH - 1])
+            size += len(held[-1])
+            if size >= SEGMENT:
+                yield own, at, held
+                own, at, held, size = [], [], [], 0
+    if held:
+        yield own, at, held
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words of a text, read in segments that end between words."""
+    found, a = [], 0
+    while a < len(text):
+        end = _BLANK.search(text, a + SEGMENT)
+        part = np.frombuffer(text[a : end.start() if end else len(text)], np.uint8)
+        found.append(H.spans(H.prefix(H.BYTE_VALUES[part]), *H.words(part)))
+        a = end.start() if end else len(text)
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
+def word_anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and hash of the distinct word anchors of each text: of the WORD_GRAM-grams of every PASSAGE words, the one of least hash."""
+    if sum(map(len, texts)) <= SEGMENT:
+        data, starts = H.join_texts(texts)
+        first, stop = H.words(data)
+        hashes = H.spans(H.prefix(H.BYTE_VALUES[data]), first, stop)
+        edges = np.searchsorted(first, starts)
+    else:
+        each = [_word_hashes(t) for t in texts]
+        hashes, edges = np.concatenate(each), np.cumsum([0] + [len(x) for x in each])
+    width = PASSAGE - WORD_GRAM + 1
+    count = np.maximum(np.diff(edges) - PASSAGE + 1, 0)  # windows of each text
+    if not count.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    at = np.arange(len(hashes) - WORD_GRAM + 1)
+    least = sliding_min(H.spans(H.prefix(hashes), at, at + WORD_GRAM), width)
+    own = np.repeat(np.arange(len(texts)), count)
+    found = least[np.repeat(edges[:-1] - (np.cumsum(count) - count), count) + np.arange(len(own))]
+    new = np.append(True, (found[1:] != found[:-1]) | (own[1:] != own[:-1]))
+    order = np.lexsort((found[new], own[new]))
+    own, found = own[new][order], H.mix(found[new][order] + np.uint64(PASSAGE))
+    new = np.append(True, (found[1:] != found[:-1]) | (own[1:] != own[:-1]))
+    return own[new], found[new]
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Texts with a key that survives a second scan: the id and a hash of the text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -89,32 +147,67 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _counts(texts: DataFrame) -> DataFrame:
-    """Anchor hashes with their count in one part of a task."""
+    """Hashes of byte and word anchors with their count in one part of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, values in in_parts(batch.column(0)):
-                found, count = np.unique(anchors(values)[2], return_counts=True)
+                every = [word_anchors(values)[1], *(anchors(held)[2] for _, _, held in segments(values))]
+                found, count = np.unique(np.concatenate(every), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], names=["_h", "n"])
 
     return map_arrow(texts.select("text"), run, "_h long, n long")
 
 
-def _occurrences(texts: DataFrame) -> DataFrame:
-    """Anchors as rows; those that follow each other with one hash and context (periodic text) are one row with a count."""
+def anchor_filter(hashes: DataFrame) -> np.ndarray:
+    """Bloom filter of the column ``_h`` as 64-bit words; its size is a power of two of at most FILTER_BITS bits."""
+    bits = min(FILTER_BITS, max(1024, 1 << (BITS_PER_ROW * hashes.count()).bit_length()))
+    probes = F.array(F.col("_h").bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned("_h", 32).bitwiseAND(F.lit(bits - 1)))
+    words = hashes.select(F.explode(probes).alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 AS int)))").alias("mask")).toArrow()
+    out = np.zeros(bits >> 6, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("mask").to_numpy().view(np.uint64)
+    return out
+
+
+def _in_filter(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    low = np.uint64(64 * len(words) - 1)
+    hit = lambda p: (words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1)
+    return (hit(h & low) & hit(h >> np.uint64(32) & low)).astype(bool)
+
+
+def _occurrences(texts: DataFrame, repeated: np.ndarray) -> DataFrame:
+    """Anchors that may repeat, as rows; those that follow each other with one hash and context (periodic text) are one row with a count.
+
+    Word anchors have no place: ``pos`` is null."""
+    shared = texts.sparkSession.sparkContext.broadcast(repeated)
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    names = ["_h", "ch", "doc_id", "th", "pos", "last", "n", "left", "size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
         for batch in batches:
+            ids, keys = batch.column(0), batch.column(1)
             for a, _, values in in_parts(batch.column(2)):
-                doc, place, gram, around, left, size = anchors(values)
-                if not len(doc):
-                    continue
-                new = np.ones(len(doc), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1]) | (around[1:] != around[:-1]) | (place[1:] > place[:-1] + LENGTH)
-                at = np.flatnonzero(new)
-                stop = np.append(at[1:], len(doc))
-                own = pa.array(doc[at] + a)
-                yield pa.RecordBatch.from_arrays([pa.array(gram[at].view(np.int64)), pa.array(around[at].view(np.int64)), batch.column(0).take(own), batch.column(1).take(own), pa.array(place[at]), pa.array(place[stop - 1]), pa.array(stop - at), pa.array(left[at].astype(np.int32)), pa.array(size[at].astype(np.int32))], names=["_h", "ch", "doc_id", "th", "pos", "last", "n", "left", "size"])
+                own, found = word_anchors(values)
+                may = _in_filter(words, found)
+                row, found = pa.array(own[may] + a), found[may]
+                if len(found):
+                    empty = [pa.nulls(len(found), t) for t in types]
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), empty[1], ids.take(row), keys.take(row), *empty[4:]], names=names)
+                for texts_of, at_byte, held in segments(values):
+                    doc, place, gram, around, left, size = anchors(held)
+                    may = _in_filter(words, gram)
+                    if not may.any():
+                        continue
+                    doc, place, gram, around, left, size = (x[may] for x in (doc, place, gram, around, left, size))
+                    place, doc = place + np.array(at_byte)[doc], np.array(texts_of)[doc]
+                    new = np.ones(len(doc), bool)
+                    new[1:] = (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1]) | (around[1:] != around[:-1]) | (place[1:] > place[:-1] + LENGTH)
+                    at = np.flatnonzero(new)
+                    stop = np.append(at[1:], len(doc))
+                    row = pa.array(doc[at] + a)
+                    cols = [gram[at].view(np.int64), around[at].view(np.int64), ids.take(row), keys.take(row), place[at], place[stop - 1], stop - at, left[at].astype(np.int32), size[at].astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) if isinstance(c, np.ndarray) else c for c, t in zip(cols, types, strict=True)], names=names)
 
     return map_arrow(texts, run, "_h long, ch long, doc_id long, th long, pos long, last long, n long, left int, size int")
 
@@ -282,7 +375,9 @@ def _indexed(contexts: DataFrame) -> DataFrame:
                 size += len(row[3])
         yield from marks(held)
 
-    dealt = contexts.select("_h", "ch", "left", "bytes", "doc_id", "th", "pos").repartition(partitions(contexts.sparkSession), "_h").sortWithinPartitions("_h", "ch")
+    # Dealt by a number of its own, so that adaptive execution does not put these slow rows into few tasks by their bytes.
+    rows = contexts.select("_h", "ch", "left", "bytes", "doc_id", "th", "pos")
+    dealt = rows.repartition(4 * partitions(contexts.sparkSession), F.xxhash64("_h")).sortWithinPartitions("_h", "ch")
     return map_arrow(dealt, run, "_h long, ch long, a int, b int")
 
 
@@ -303,12 +398,11 @@ def _hashed(contexts: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Keyed texts, and staged rows (doc_id, th, spans): unmerged arrays of (a, b) byte ranges that repeat."""
+    """Keyed texts, and staged rows (doc_id, th, spans, passages): unmerged arrays of (a, b) byte ranges that repeat, and the number of word anchors that another row holds too."""
     texts = _keyed(docs, id_col, text_col)
     counted = staged(_counts(texts).groupBy("_h").agg(F.sum("n").alias("n")).where("n > 1").select("_h"), "repeated")
-    bits = min(FILTER_BITS, max(1024, BITS_PER_ROW * counted.count()))
-    words = staged(repeated_filter(counted.unionAll(counted), bits), "bloom")
-    occurring = staged(maybe_repeated(_occurrences(texts), words, bits).where("_maybe").drop("_maybe"), "occurrences")
+    every = staged(_occurrences(texts, anchor_filter(counted)), "occurrences")
+    occurring, words = every.where("pos IS NOT NULL"), every.where("pos IS NULL").select("_h", "doc_id", "th")
     kinds = staged(occurring.groupBy("_h", "ch").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "th", "pos", "left", "size")).alias("rep")), "kinds")
     several = staged(kinds.groupBy("_h").agg(F.count(F.lit(1)).alias("g")).where("g > 1"), "several")
     contexts = _contexts(texts, kinds.join(several, "_h", "left_semi").select("_h", "ch", "rep.*"))
@@ -318,14 +412,20 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     partial = partial.join(kinds.where("n > 1").select("_h", "ch"), ["_h", "ch"], "left_anti")
     marks = staged(full.unionAll(partial).groupBy("_h", "ch").agg(F.collect_list(F.struct("a", "b")).alias("marks")), "marks")
     met = occurring.join(marks, ["_h", "ch"]).select("doc_id", "th", "pos", "last", F.explode("marks").alias("m"))
-    met = met.select("doc_id", "th", (F.col("pos") + F.col("m.a")).alias("a"), (F.col("last") + F.col("m.b")).alias("b"))
-    return texts, staged(met.groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
+    found = met.select("doc_id", "th", F.struct((F.col("pos") + F.col("m.a")).alias("a"), (F.col("last") + F.col("m.b")).alias("b")).alias("span"), F.lit(None).cast("long").alias("_h"))
+    # A row holds an anchor once, so two rows of it are two documents.
+    shared = staged(words.groupBy("_h").count().where("count > 1").select("_h"), "passages")
+    found = found.unionByName(words.join(shared, "_h", "left_semi").distinct().withColumn("span", F.lit(None).cast("struct<a:bigint,b:bigint>")))
+    return texts, staged(found.groupBy("doc_id", "th").agg(F.collect_set("span").alias("spans"), F.count("_h").alias("passages")), "spans")
 
 
 def remove_repeats(docs: DataFrame, with_bytes: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes themselves if with_bytes."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages, and the kept bytes themselves if with_bytes.
+
+    n_passages counts word anchors of the row that another row holds too: a passage of PASSAGE words that both hold gives one
+    at least, even where it is shorter than LENGTH bytes and stays; rows that share fewer than WORD_GRAM words in a row have none."""
     texts, spans = repeated_spans(docs, id_col, text_col)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long" + ", kept binary" * with_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,10 +443,11 @@ def remove_repeats(docs: DataFrame, with_bytes: bool = False, id_col: str = "doc
                 left = b"".join(kept)
                 out.append((len(text), len(text) - len(left), runs, hashlib.sha256(left).hexdigest(), left))
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            cols = [pa.array([x[k] for x in out], t) for k, t in enumerate(types)][: 4 + with_bytes]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_bytes])
+            cols = [pa.array([x[k] for x in out], t) for k, t in enumerate(types)]
+            cols = [batch.column(0), *cols[:4], batch.column(3), *cols[4:]][: 6 + with_bytes]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "kept"][: 6 + with_bytes])
 
-    return map_arrow(_meeting(texts, spans, "left").select("doc_id", "text", "spans"), run, schema)
+    return map_arrow(_meeting(texts, spans, "left").select("doc_id", "text", "spans", F.coalesce("passages", F.lit(0).cast("long")).alias("passages")), run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
