@@ -253,11 +253,11 @@ def test_first_rule_and_stats(spark):
 
 
 def test_files(spark, tmp_path):
-    text = 'id,name\n1,"a, b"\n2,"two\nlines"\n3,'
+    text = 'id,name\n1,"a, b"\n2,"two ""lines"""\n3,'
     (tmp_path / "T.csv").write_text(text)
     (tmp_path / "E.csv").write_text("id,name\n")
     tables = files.catalog(spark, f"file://{tmp_path}")
-    assert [tuple(r) for r in tables["T"].collect()] == [("1", "a, b"), ("2", "two\nlines"), ("3", None)]
+    assert [tuple(r) for r in tables["T"].collect()] == [("1", "a, b"), ("2", 'two "lines"'), ("3", None)]
     assert tables["E"].columns == ["id", "name"] and tables["E"].count() == 0
     assert files.with_position(tables["E"]).count() == 0
     rows = files.with_position(spark.range(10).repartition(3))

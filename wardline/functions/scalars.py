@@ -137,3 +137,8 @@ def partition_path(person: Column, split_prefix: str = "600000071", width: int =
 
 def min_max(value: Column, low: Column, high: Column) -> Column:
     return F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
+
+
+def strip_ansi(c: Column) -> Column:
+    """A log line without terminal colours and other escape sequences."""
+    return F.regexp_replace(c, "\\x1B(?:\\[[0-?]*[ -/]*[@-~]|[@-Z\\\\^_])", "")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.scalars import blank
-from wardline.operators.dedup import dedup
+from wardline.operators.dedup import ranked
 from wardline.operators.quality import reject_rare
 from wardline.operators.split import Split, by_reason
 from wardline.registry import MAPPED_CLASS, MIN_FREQUENCY
@@ -43,15 +43,21 @@ def mapping_statistics(df: DataFrame, mapped: DataFrame, concept: str) -> DataFr
 
 
 def map_table(df: DataFrame, mapping: DataFrame | None, concept: str, keys: Sequence[str], order: Sequence[Column], least: int = MIN_FREQUENCY, deduplicate: bool = True, prefer: Column | None = None) -> Split:
-    """The mapping stage: rare source concepts go, the rest is mapped, then duplicates of the new key go."""
+    """The mapping stage: rare source concepts go, the rest is mapped, then duplicates of the new key go.
+
+    Rows keep their reason as they pass, so all three steps are one lineage; rejected rows show the concept they went by: the
+    source's if it was rare, else the target's."""
     frequent = reject_rare(df, concept, least)
-    mapped = apply_mapping(frequent.kept, mapping, concept)
+    reason = F.col("removal_reason")
+    source = frequent.tagged.withColumn("_source_concept", F.col(concept))
+    mapped = apply_mapping(source, mapping, concept)
+    flag = f"{concept}_mapped"
+    mapped = mapped.withColumns({concept: F.when(reason.isNull(), F.col(concept)).otherwise(F.col("_source_concept")), flag: F.when(reason.isNull(), F.col(flag))}).drop("_source_concept")
     if not deduplicate:
-        return Split(mapped, frequent.rejected, frequent.stats)
-    again = dedup(mapped, keys, order, prefer)
-    rejected = frequent.rejected.unionByName(again.rejected, allowMissingColumns=True)
-    stats = by_reason(again.kept.withColumn("removal_reason", F.lit(None).cast("string")).unionByName(rejected, allowMissingColumns=True)).stats
-    return Split(again.kept, rejected, stats)
+        return by_reason(mapped)
+    # Rows that went before are ranked among themselves, so they take no place in a key's group.
+    rows = ranked(mapped.withColumn("_gone", reason.isNotNull()), [*[k for k in keys if k in mapped.columns], "_gone"], order, prefer)
+    return by_reason(rows.withColumn("removal_reason", F.when(reason.isNull() & (F.col("_rank") > 1), F.lit("duplicate")).otherwise(reason)).drop("_rank", "_size", "_gone"))
 
 
 def unmapped(concepts: DataFrame, mapping: DataFrame, concept: str, source: str = "original_concept_id") -> DataFrame:
@@ -81,11 +87,19 @@ def build_mapping(concepts: DataFrame, mappings: DataFrame, table: str) -> tuple
     )
     hit = F.col("snomed_concept_id").isNotNull()
     outcome = F.when(hit & F.col("already_present"), "mapped_existing").when(hit, "mapped_new").otherwise("unmapped")
-    outcomes = met.select(outcome.alias("o")).unionAll(native.select(F.lit("already_snomed").alias("o")))
-    stats = outcomes.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("o") == k).alias(k) for k in ("already_snomed", "mapped_existing", "mapped_new", "unmapped")])
+    outcomes = met.select(outcome.alias("o"), "Vocab").unionAll(native.select(F.lit("already_snomed").alias("o"), "Vocab"))
+    cpt = F.count_if((F.col("o") == "unmapped") & (F.col("Vocab") == "CPT4")).alias("unmapped_cpt4")
+    stats = outcomes.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("o") == k).alias(k) for k in ("already_snomed", "mapped_existing", "mapped_new", "unmapped")], cpt)
     return reference, stats
 
 
+def relationships(reference: DataFrame) -> DataFrame:
+    """mapping_relationship, original_vocab, concepts, share: how a reference maps, by kind of link and source vocabulary; shares are percentages of all."""
+    counted = reference.groupBy("mapping_relationship", "original_vocab").agg(F.count(F.lit(1)).alias("concepts"))
+    total = reference.agg(F.count(F.lit(1)).alias("_all"))
+    return counted.join(F.broadcast(total)).withColumn("share", 100.0 * F.col("concepts") / F.col("_all")).drop("_all")
+
+
 def consolidate(dictionaries: Sequence[DataFrame], mapping: DataFrame, drop: Sequence[str] = ("Domain", "Frequency")) -> DataFrame:
     """Union of concept dictionaries without the concepts a mapping already has, and without the columns to drop."""
     every = dictionaries[0]

@@ -86,3 +86,18 @@ def peak_month(df: DataFrame, time: str) -> DataFrame:
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence, n: int) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_r") <= n).drop("_r")
+
+
+def kinds(df: DataFrame) -> DataFrame:
+    """column_name, kind (numeric or string) of a frame's schema; reads no rows."""
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(kind_of(t)).alias("kind")) for c, t in df.dtypes])
+    return df.sparkSession.range(1).select(F.explode(rows).alias("x")).select("x.*")
+
+
+def null_columns(tables: Mapping[str, DataFrame], n: int = 5, over: float = 0.0) -> DataFrame:
+    """table_name, column_name, missing, missing_percentage of the n emptiest columns of each table, of those null in more than ``over`` percent of rows."""
+    rows = None
+    for name, df in tables.items():
+        own = null_profile(df).where(F.col("missing_percentage") > over).select(F.lit(name).alias("table_name"), "column_name", "missing", "missing_percentage")
+        rows = own if rows is None else rows.unionAll(own)
+    return top_per_group(rows, ["table_name"], [F.desc("missing_percentage"), "column_name"], n)

@@ -28,7 +28,7 @@ def reject_temporal(df: DataFrame, start: str, end: str, position: str | None =
     tagged = df.withColumn("temporal_issue_reason", first_rule((temporal_issue(F.col(start), F.col(end)), "end_before_start")))
     split = by_reason(tagged, "temporal_issue_reason")
     extra = split.rejected.withColumn("start_datetime", F.col(start)).withColumn("end_datetime", F.col(end)).withColumn("original_row_number", F.col(position) if position else F.lit(None).cast("long"))
-    return Split(split.kept, extra, split.stats)
+    return split._replace(rejected=extra)
 
 
 def frequency(df: DataFrame, concept: str) -> DataFrame:
@@ -61,8 +61,7 @@ def null_profile(df: DataFrame, is_null=None) -> DataFrame:
 def prune_columns(df: DataFrame, most: float = MAX_NULL_PERCENT, is_null=None) -> tuple[DataFrame, DataFrame]:
     """The frame without columns that are null in more than ``most`` percent of rows, and the profile that decides."""
     profile = null_profile(df, is_null).withColumn("removed", F.col("missing_percentage") > most)
-    gone = [r.column_name for r in profile.where("removed").collect()]  # one row a column
-    return df.drop(*gone), profile
+    return df.drop(*columns_to_prune(profile, most)), profile
 
 
 def cascade(df: DataFrame, spec: TableSpec, order: Sequence[Column]) -> DataFrame:
@@ -76,8 +75,15 @@ def cascade(df: DataFrame, spec: TableSpec, order: Sequence[Column]) -> DataFram
     return rows.withColumn("removal_reason", first_rule(*rules)).drop("_rank", "_size")
 
 
-def clean_table(df: DataFrame, spec: TableSpec, order: Sequence[Column], most_null: float = MAX_NULL_PERCENT) -> Split:
-    """The cleaning stage: cascade, then null-heavy columns are dropped from what is kept (rejects keep all)."""
+def columns_to_prune(profile: DataFrame, most: float = MAX_NULL_PERCENT) -> list[str]:
+    """Columns that a profile (column_name, missing_percentage) finds null in more than ``most`` percent of rows."""
+    return [r.column_name for r in profile.where(F.col("missing_percentage") > most).select("column_name").collect()]  # one row a column
+
+
+def clean_table(df: DataFrame, spec: TableSpec, order: Sequence[Column], most_null: float = MAX_NULL_PERCENT, profile: DataFrame | None = None) -> Split:
+    """The cleaning stage: cascade, then null-heavy columns are dropped from what is kept (rejects keep all).
+
+    ``profile`` is that of the profiling stage; without it the table is profiled here."""
     split = by_reason(cascade(df, spec, order))
-    pruned, _ = prune_columns(df, most_null)
-    return Split(split.kept.select(*pruned.columns), split.rejected, split.stats)
+    gone = columns_to_prune(null_profile(df) if profile is None else profile, most_null)
+    return split._replace(kept=split.kept.drop(*gone))

@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 
 
 class Split(NamedTuple):
+    """``tagged`` holds all rows with their reason (null: kept), so that both sides can be used in one pass."""
+
     kept: DataFrame
     rejected: DataFrame
     stats: DataFrame
+    tagged: DataFrame
+    reason: str = "removal_reason"
 
 
 def by_reason(tagged: DataFrame, reason: str = "removal_reason") -> Split:
-    """Split a frame by its reason column: null is kept. Both sides and the counts share one lineage."""
+    """Split a frame by its reason column: null is kept. Both sides and the counts share one lineage.
+
+    Who uses more than one of them writes ``tagged`` first (``plans.pipeline`` does), or aggregates it."""
     stats = tagged.groupBy(F.coalesce(F.col(reason), F.lit("kept")).alias("outcome")).agg(F.count(F.lit(1)).alias("records"))
-    return Split(tagged.where(F.col(reason).isNull()).drop(reason), tagged.where(F.col(reason).isNotNull()), stats)
+    return Split(tagged.where(F.col(reason).isNull()).drop(reason), tagged.where(F.col(reason).isNotNull()), stats, tagged, reason)
 
 
 def first_rule(*rules: tuple[Column, str | Column]) -> Column:

@@ -12,6 +12,10 @@ from wardline.operators.split import Split, by_reason, first_rule
 from wardline.registry import CONVERSIONS, MIN_VALUES, PERCENTILE, PLAUSIBLE_RANGES
 
 
+#: Levels of a quantile table, in percent.
+LEVELS = (1, 5, 25, 50, 75, 95, 99)
+
+
 def snapped(percentile: float) -> tuple[float, float]:
     """Quantile levels that a percentile snaps to when a sketch holds only seven."""
     return (0.01, 0.99) if percentile >= 99 else (0.05, 0.95) if percentile >= 95 else (0.25, 0.75)
@@ -61,12 +65,22 @@ def refined_quantiles(df: DataFrame, concept: str, value: str, levels: Sequence[
     return found.select(concept, "n", F.array(*values).alias("quantiles"))
 
 
+def sketched_quantiles(df: DataFrame, concept: str, value: str, least: int = MIN_VALUES, accuracy: int = 10000) -> DataFrame:
+    """Seven sketched quantiles, and the exact count, least and greatest value, of each concept with ``least`` finite values.
+
+    Sketches merge map-side, so a concept of any size is one small state a task; ranks err by n / accuracy at most, and
+    concepts of fewer values than ``accuracy`` are exact (the value at rank ceil(p n))."""
+    good = df.select(F.col(concept), to_double(F.col(value)).alias("_v")).where(finite(F.col("_v")) & F.col(concept).isNotNull())
+    sketch = F.percentile_approx("_v", [p / 100 for p in LEVELS], accuracy).alias("_q")
+    grouped = good.groupBy(concept).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("p0"), sketch, F.max("_v").alias("p100")).where(F.col("n") >= least)
+    return grouped.select(concept, "n", "p0", *[F.col("_q")[k].alias(f"p{p}") for k, p in enumerate(LEVELS)], "p100")
+
+
 def quantile_table(df: DataFrame, concept: str, value: str, least: int = MIN_VALUES) -> DataFrame:
     """Seven quantiles and the exact least and greatest value of each concept."""
     good = df.select(F.col(concept), to_double(F.col(value)).alias("_v")).where(finite(F.col("_v")))
     counted = good.groupBy(concept, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    levels = (1, 5, 25, 50, 75, 95, 99)
-    grouped = counted.groupBy(concept).agg(F.sum("_c").alias("n"), F.min("_v").alias("p0"), *[F.percentile("_v", p / 100, F.col("_c")).alias(f"p{p}") for p in levels], F.max("_v").alias("p100"))
+    grouped = counted.groupBy(concept).agg(F.sum("_c").alias("n"), F.min("_v").alias("p0"), *[F.percentile("_v", p / 100, F.col("_c")).alias(f"p{p}") for p in LEVELS], F.max("_v").alias("p100"))
     return grouped.where(F.col("n") >= least)
 
 
@@ -83,13 +97,19 @@ def outliers(df: DataFrame, limits: DataFrame, concept: str, value: str, ranges:
     reason = first_rule((known & ((v < F.col("_low")) | (v > F.col("_high"))), "percentile_outlier"), (known & wide, "range_outlier"))
     info = F.to_json(F.struct(v.alias("value"), F.col("_low").alias("lower"), F.col("_high").alias("upper")))
     split = by_reason(met.withColumn("removal_reason", reason).withColumn("additional_info", info).drop("_c", "_low", "_high"))
-    return Split(split.kept.drop("additional_info"), split.rejected, split.stats)
+    return split._replace(kept=split.kept.drop("additional_info"))
 
 
 def standardise_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: normalise_date(F.col(c), c) for c in columns if c in df.columns})
 
 
+def standardise_distinct_dates(df: DataFrame, column: str) -> DataFrame:
+    """The same for one column by its distinct texts: each is parsed once and joined back. It pays where texts repeat much and parsing is dear."""
+    parsed = df.select(F.col(column).alias("_text")).distinct().withColumn("_date", normalise_date(F.col("_text"), column))
+    return df.join(parsed, F.col(column).eqNullSafe(F.col("_text")), "left").withColumn(column, F.col("_date")).drop("_text", "_date")
+
+
 def standardise_units(df: DataFrame, concept: str, value: str, unit: str | None, gate: bool = True) -> DataFrame:
     """Values, and with a unit column also units, in the unit each concept is kept in."""
     new = convert_units(F.col(concept), F.col(unit) if unit else None, to_double(F.col(value)), CONVERSIONS, gate and unit is not None)

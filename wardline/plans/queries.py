@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wardline.functions import scalars as X
 from wardline.operators import cohort, dedup, episodes, mapping, profile, quality, sampling, standardize, validate
 from wardline.operators.split import by_reason, removal_summary
+from wardline.sources import files
 from wardline.registry import AGE_EDGES, CONVERSIONS, STAY_EDGES, VISIT_TYPE, TableSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -479,9 +480,11 @@ def _(t):
     return mapping.build_mapping(*dictionary(t), "MEASUREMENT")[0].select("original_concept_id", "original_code", "original_vocab", "snomed_concept_id", "snomed_concept_name", "frequency", "standard_class", "domain")
 
 
-@query("builder_stats", f"WITH {DICTIONARY}, n AS (SELECT id FROM c WHERE vocab = 'SNOMED') SELECT (SELECT count(*) FROM c) AS total, (SELECT count(*) FROM n) AS already_snomed, count(*) FILTER (target IN (FROM n)) AS mapped_existing, count(*) FILTER (target NOT IN (FROM n)) AS mapped_new, count(*) FILTER (target IS NULL) AS unmapped FROM r")
+@query("builder_stats", f"WITH {DICTIONARY}, n AS (SELECT id FROM c WHERE vocab = 'SNOMED') SELECT (SELECT count(*) FROM c) AS total, (SELECT count(*) FROM n) AS already_snomed, count(*) FILTER (target IN (FROM n)) AS mapped_existing, count(*) FILTER (target NOT IN (FROM n)) AS mapped_new, count(*) FILTER (target IS NULL) AS unmapped, count(*) FILTER (target IS NULL AND id % 2 = 0) AS unmapped_cpt4 FROM r")
 def _(t):
-    return mapping.build_mapping(*dictionary(t), "MEASUREMENT")[1]
+    concepts, maps = dictionary(t)
+    concepts = concepts.withColumn("Vocab", F.expr("CASE WHEN Vocab <> 'SNOMED' AND Id % 2 = 0 THEN 'CPT4' ELSE Vocab END"))
+    return mapping.build_mapping(concepts, maps, "MEASUREMENT")[1]
 
 
 @query("dictionary_consolidate", "SELECT k AS \"Id\", n AS \"Name\" FROM (SELECT n_nationkey AS k, n_name AS n FROM nation UNION ALL SELECT r_regionkey + 100, r_name FROM region) WHERE k NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 4 <> 0)")
@@ -596,9 +599,10 @@ def _(t):
     return episodes.merge_map(visits(t), *VISIT_ARGS)
 
 
-@query("episode_validate", "SELECT count(*) AS ids_in, count(*) AS ids_out, 0::BIGINT AS lost, 0::BIGINT AS added FROM events")
+@query("episode_validate", "SELECT count(*) FILTER (event_id % 7 <> 0) AS ids_in, count(*) FILTER (event_id % 10 <> 0) AS ids_out, count(*) FILTER (event_id % 7 <> 0 AND event_id % 10 = 0) AS lost, count(*) FILTER (event_id % 7 = 0 AND event_id % 10 <> 0) AS added FROM events")
 def _(t):
-    return episodes.validate_merge(visits(t), episodes.merge(visits(t), *VISIT_ARGS), "visit_id")
+    """A merge that lost a tenth of the visits and has others that were not to be in it."""
+    return episodes.validate_merge(visits(t).where("visit_id % 7 <> 0"), episodes.merge(visits(t).where("visit_id % 10 <> 0"), *VISIT_ARGS), "visit_id")
 
 
 @query("episode_union_missing_cols", f"WITH {VISITS}, {EPISODES}, {_GROUPED} SELECT {EPISODE_ID} AS episode_id, CASE WHEN n > 1 THEN s END AS merged_start_datetime, CASE WHEN n > 1 THEN f END AS merged_end_datetime FROM g")
@@ -716,9 +720,27 @@ def _(t):
     return sampling.quotas(t("customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("g")), "c_mktsegment", 137)
 
 
-@query("stratified_sample")
+@query("stratified_sample", f"SELECT c_mktsegment, quota AS sampled, quota AS persons, true AS known FROM ({_QUOTA})")
+def _(t):
+    """The sample by stratum; which persons are in it goes by a hash, so the SQL knows their number only."""
+    chosen = sampling.stratified_sample(t("customer"), "c_custkey", F.col("c_mktsegment"), 137)
+    met = chosen.select("c_custkey", "c_mktsegment").join(t("customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("s")), (F.col("c_custkey") == F.col("k")) & (F.col("c_mktsegment") == F.col("s")), "left")
+    return met.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("sampled"), F.countDistinct("c_custkey").alias("persons"), F.bool_and(F.col("k").isNotNull()).alias("known"))
+
+
+@query("sample_extract", "SELECT count(*) AS orders, count(DISTINCT o_custkey) AS persons FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)")
 def _(t):
-    return sampling.stratified_sample(t("customer"), "c_custkey", F.col("c_mktsegment"), 137).select("c_custkey", "c_mktsegment")
+    """A sample no smaller than the table takes everyone, and extraction all their rows."""
+    people = t("customer").select(F.col("c_custkey").alias("person_id"))
+    found = sampling.sample_and_extract({"PERSON": people, "ORDERS": t("orders").withColumnRenamed("o_custkey", "person_id")}, size=10**9)
+    return found["ORDERS"].agg(F.count(F.lit(1)).alias("orders"), F.countDistinct("person_id").alias("persons"))
+
+
+@query("person_chunk_join", f"WITH {VISITS}, c AS (SELECT DISTINCT person_id FROM v WHERE person_id % 8 = 3) SELECT v.person_id, count(*) AS visits FROM v JOIN c USING (person_id) GROUP BY 1")
+def _(t):
+    """One slice of persons, as a semi-join: the eighth whose id leaves 3."""
+    rows = visits(t)
+    return cohort.extract(rows, rows.select("person_id").where("person_id % 8 = 3").distinct(), "person_id").groupBy("person_id").agg(F.count(F.lit(1)).alias("visits"))
 
 
 @query("partition_path", "WITH p AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '600000071' ELSE '600000072' END || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS id FROM customer) SELECT c_custkey, substr(id, 1, 9) AS prefix, CASE WHEN c_custkey % 2 = 0 THEN format('{:06d}-{:06d}', c_custkey // 1000 * 1000, c_custkey // 1000 * 1000 + 999) END AS bucket FROM p")
@@ -775,12 +797,127 @@ def _(t):
     return t("customer").select("c_custkey", F.format_string("%06d", "c_custkey").alias("padded"), F.format_number(F.col("c_custkey") * 1000, 0).alias("grouped"))
 
 
+@query("ansi_strip", "SELECT c_custkey, c_name AS line FROM customer")
+def _(t):
+    coloured = F.concat(F.lit("\x1b[1;32m"), F.substring("c_name", 1, 4), F.lit("\x1b[0m"), F.expr("substring(c_name, 5)"), F.lit("\x1b[2K"))
+    return t("customer").select("c_custkey", X.strip_ansi(coloured).alias("line"))
+
+
+# --- scans, profiles and stages as a whole ---------------------------------------------------------------------------
+
+@query("row_numbers", "SELECT c_custkey, row_number() OVER () AS original_row_number FROM customer")
+def _(t):
+    return files.with_position(t("customer")).select("c_custkey", "original_row_number")
+
+
+@query("row_range", "SELECT c_custkey FROM (SELECT c_custkey, row_number() OVER () AS n FROM customer) WHERE n BETWEEN 101 AND 250")
+def _(t):
+    return files.row_slice(files.with_position(t("customer")), 100, 250).select("c_custkey")
+
+
+@query("head_tail", "WITH n AS (SELECT c_custkey, row_number() OVER () AS n, count(*) OVER () AS c FROM customer) SELECT 'head' AS side, c_custkey FROM n WHERE n <= 50 UNION ALL SELECT 'tail', c_custkey FROM n WHERE n > c - 50")
+def _(t):
+    rows = files.with_position(t("customer"))
+    first, last = files.row_slice(rows, 0, 50), files.tail(rows, 50)
+    return first.select(F.lit("head").alias("side"), "c_custkey").unionAll(last.select(F.lit("tail"), "c_custkey"))
+
+
+@query("column_kinds", "SELECT column_name, CASE WHEN column_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'FLOAT', 'DOUBLE') OR column_type LIKE 'DECIMAL%' THEN 'numeric' ELSE 'string' END AS kind FROM (DESCRIBE lineitem)")
+def _(t):
+    return profile.kinds(t("lineitem"))
+
+
+_SAMPLED = ("c_mktsegment", "c_nationkey", "c_custkey")
+
+
+@query("column_samples", "WITH u AS (" + " UNION ALL ".join(f"SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS v FROM customer WHERE {c} IS NOT NULL" for c in _SAMPLED) + "), r AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY v) AS k FROM u) SELECT column_name, least(count(*), 1000) AS unique_values, string_agg(v, ',' ORDER BY v) FILTER (k <= 10) AS sample_values FROM r GROUP BY 1")
+def _(t):
+    return profile.column_samples(t("customer"), _SAMPLED).withColumn("sample_values", F.array_join("sample_values", ","))
+
+
+@query("null_columns_top", f"WITH {GAPS}, {GAP_COUNTS} SELECT 'gaps' AS table_name, column_name, missing, round(100.0 * missing / total, 6) AS missing_percentage FROM c WHERE missing > 0 ORDER BY 4 DESC, 2 LIMIT 3")
+def _(t):
+    return profile.null_columns({"gaps": gaps(t)}, 3).withColumn("missing_percentage", F.round("missing_percentage", 6))
+
+
+@query("null_columns_over_half", f"WITH {GAPS}, {GAP_COUNTS} SELECT 'gaps' AS table_name, column_name, missing FROM c WHERE 100.0 * missing / total > 50")
+def _(t):
+    return profile.null_columns({"gaps": gaps(t)}, 100, over=50.0).select("table_name", "column_name", "missing")
+
+
+@query("person_summary", f"WITH {PEOPLE}, g AS (SELECT g, count(*) AS n FROM p GROUP BY 1) SELECT count(*) AS persons, min(yob) AS first_year, max(yob) AS last_year, (SELECT string_agg(g || ':' || n, ',' ORDER BY n DESC, g) FROM (FROM g ORDER BY n DESC, g LIMIT 3)) AS genders FROM p")
+def _(t):
+    genders = F.array_join(F.transform("genders", lambda x: F.concat_ws(":", x["gender_concept_id"], x["records"])), ",")
+    return validate.person_summary(people(t)).withColumn("genders", genders)
+
+
+_RANKS = "r AS (SELECT l_partkey, l_extendedprice AS v, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice) AS k, count(*) OVER (PARTITION BY l_partkey) AS n FROM lineitem)"
+
+
+def _at(p: int) -> str:
+    """The value at rank ceil(p n)."""
+    return f"max(v) FILTER (k = greatest(1, CAST(ceil({p / 100} * n) AS BIGINT)))"
+
+
+@query("sketched_quantiles", f"WITH {_RANKS} SELECT l_partkey, max(n) AS n, min(v) AS p0, " + ", ".join(f"{_at(p)} AS p{p}" for p in standardize.LEVELS) + ", max(v) AS p100 FROM r GROUP BY 1 HAVING max(n) >= 10")
+def _(t):
+    return standardize.sketched_quantiles(t("lineitem"), "l_partkey", "l_extendedprice")
+
+
+@query("snapped_thresholds", " UNION ALL ".join(f"(WITH {_RANKS} SELECT {given} AS percentile, l_partkey, {_at(low)} AS lower, {_at(high)} AS upper FROM r GROUP BY 2 HAVING max(n) >= 10)" for given, low, high in ((99, 1, 99), (97, 5, 95), (80, 25, 75))))
+def _(t):
+    """Percentiles that a table of seven levels does not have snap to one it has."""
+    every = [standardize.thresholds(t("lineitem"), "l_partkey", "l_extendedprice", p, approx=True).select(F.lit(p).alias("percentile"), "l_partkey", "lower", "upper") for p in (99, 97, 80)]
+    return every[0].unionAll(every[1]).unionAll(every[2])
+
+
+@query("distinct_dates", f"WITH {WRITTEN} SELECT o_orderkey, {NORMAL} AS normal FROM w")
+def _(t):
+    rows = written(t).withColumnRenamed("raw", "o_date")
+    return standardize.standardise_distinct_dates(rows, "o_date").select("o_orderkey", F.col("o_date").alias("normal"))
+
+
+@query("relationships", f"WITH {DICTIONARY}, m AS (SELECT CASE WHEN id % 2 = 0 THEN 'Maps to' ELSE 'Is a' END AS rel, vocab FROM r WHERE target IS NOT NULL) SELECT rel AS mapping_relationship, vocab AS original_vocab, count(*) AS concepts, round(100.0 * count(*) / (SELECT count(*) FROM m), 6) AS share FROM m GROUP BY 1, 2")
+def _(t):
+    concepts, maps = dictionary(t)
+    maps = maps.withColumn("mapping_relationship", F.expr("CASE WHEN Id % 2 = 0 THEN 'Maps to' ELSE 'Is a' END"))
+    return mapping.relationships(mapping.build_mapping(concepts, maps, "MEASUREMENT")[0]).withColumn("share", F.round("share", 6))
+
+
+_MEASURED = "m AS (SELECT l_orderkey, l_linenumber, l_partkey % 3 AS concept, CASE WHEN l_linenumber % 2 = 0 THEN 'lb' ELSE 'kg' END AS unit, l_quantity AS v, strftime(l_shipdate, '%m/%d/%Y') AS d FROM lineitem)"
+
+
+@query(
+    "standardise_table",
+    f"WITH {_MEASURED}, c AS (SELECT *, CASE WHEN concept = 1 AND unit = 'lb' THEN v * 0.453592 ELSE v END AS x, CASE WHEN concept = 1 THEN 'kg' ELSE unit END AS u FROM m), "
+    "t AS (SELECT concept, quantile_cont(x, 0.05) AS lower, quantile_cont(x, 0.95) AS upper FROM c GROUP BY 1) "
+    "SELECT CASE concept WHEN 1 THEN 37174455 ELSE concept END AS concept, u AS unit, CASE WHEN x < lower OR x > upper THEN 'percentile_outlier' WHEN concept = 1 AND x < 0.5 THEN 'range_outlier' ELSE 'kept' END AS outcome, "
+    "count(*) AS records, min(substr(d, 7, 4) || '-' || substr(d, 1, 2) || '-' || substr(d, 4, 2)) AS first_date FROM c JOIN t USING (concept) GROUP BY 1, 2, 3",
+)
+def _(t):
+    """Dates, units and both kinds of outliers in one stage: a third of the rows are weights in pounds and kilograms."""
+    rows = t("lineitem").select(
+        F.expr("CASE l_partkey % 3 WHEN 1 THEN 37174455 ELSE l_partkey % 3 END").alias("concept"), F.expr("CASE WHEN l_linenumber % 2 = 0 THEN 'lb' ELSE 'kg' END").alias("unit"),
+        F.col("l_quantity").cast("double").alias("value"), F.date_format("l_shipdate", "MM/dd/yyyy").alias("o_date"),
+    )
+    every = standardize.standardise_table(rows, "concept", "value", "unit", ["o_date"], 95).tagged
+    return every.groupBy("concept", "unit", F.coalesce("removal_reason", F.lit("kept")).alias("outcome")).agg(F.count(F.lit(1)).alias("records"), F.min("o_date").alias("first_date"))
+
+
+@query("csv_scan", "SELECT count(*) AS records, sum(CAST(c_custkey AS BIGINT)) AS ids FROM customer")
+def _(t):
+    """The person table written as CSV text and read back in splits, every field as text."""
+    folder = files.scratch(t.spark, "csv_scan")
+    files.write_csv(t("customer"), f"{folder}/customer")
+    return files.read_csv(t.spark, f"{folder}/customer", ["c_custkey"]).agg(F.count(F.lit(1)).alias("records"), F.sum(X.to_long(F.col("c_custkey"))).alias("ids"))
+
+
 @query("concept_outlier_summary", f"WITH {RANKED}, f AS (SELECT *, count(*) OVER (PARTITION BY l_partkey) AS c FROM r WHERE rk = 1), k AS (SELECT * FROM f WHERE c > 10), t AS (SELECT l_partkey, quantile_cont(l_extendedprice, 0.01) AS lower, quantile_cont(l_extendedprice, 0.99) AS upper FROM k GROUP BY 1 HAVING count(*) >= 10) SELECT l_partkey, count(*) AS records, count(*) FILTER (l_extendedprice < lower OR l_extendedprice > upper) AS rejected FROM k JOIN t USING (l_partkey) GROUP BY 1")
 def flagship(t):
     """Dedup, low-frequency filter, thresholds, outlier split, and a summary per concept."""
-    rows = dedup.dedup(t("lineitem"), LINE_KEY, order_of(ORDER)).kept
+    rows = dedup.dedup(t("lineitem").select(*ORDER), LINE_KEY, order_of(ORDER)).kept.select("l_partkey", "l_extendedprice")
     rows = quality.reject_rare(rows, "l_partkey").kept
     limits = standardize.thresholds(rows, "l_partkey", "l_extendedprice")
-    split = standardize.outliers(rows, limits, "l_partkey", "l_extendedprice", {})
-    every = split.kept.select("l_partkey", F.lit(0).alias("r")).unionAll(split.rejected.select("l_partkey", F.lit(1)))
-    return every.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("records"), F.sum("r").alias("rejected")).join(limits.select("l_partkey"), "l_partkey", "left_semi")
+    every = standardize.outliers(rows, limits, "l_partkey", "l_extendedprice", {}).tagged
+    met = every.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("records"), F.count("removal_reason").alias("rejected"))
+    return met.join(limits.select("l_partkey"), "l_partkey", "left_semi")
