@@ -4,30 +4,33 @@ A text's set holds its distinct word shingles. Exact copies of a set are one nod
 
 1. Shingles are put in one total order: by class of a frequency sketch (one bounded table, whatever the input), then by
    hash. Any order is exact; this one puts passages that many documents share last, so they seldom reach a prefix.
-2. A set enters the index lists of its first n - ceil(t n) + 1 shingles with its size and position. Lists are blocks
-   sorted by size: a probe stops at the first set that is too large, and the position bounds the overlap that is left.
+2. A set enters the index lists of its first n - ceil(t n) + 1 shingles with its size and position. Lists fall into blocks
+   of sizes that may match; a block without a posting early enough in its set to be the smaller of a pair is skipped whole,
+   a probe stops at the first set that is too large, and the positions of both bound the overlap that is left.
 3. First round: every set of a block is compared with the block's leader only. Second round: pairs of a list that are not
    yet in one group are compared, but first derived from answers already known: with a leader c of a at known distance,
    the overlap of (a, b) differs from that of their leaders by at most the two distances, so most pairs need no look.
 4. Before sets are read, histograms of n/8 counters bound the overlap; what passes is counted exactly.
 
 Groups are found by label propagation over staged tables. Nothing that grows with the input reaches the driver or is
-broadcast: Bloom filters and the sketch have fixed largest sizes. Lists are streamed in order, never held, but for the
-window of sizes that may match.
+broadcast: Bloom filters and the sketch have fixed largest sizes. Large blocks of a list are cut into parts that meet in
+twos, so a task holds the postings of two parts, whatever the list.
 
-Defined results: empty texts (and texts without words) have n_shingles 0 and link with nothing; a text with fewer words
-than a shingle is one shingle; rows with a null id link with nothing and have a null component; rows that share an id are
-one document that links as any of them does; an empty table gives no rows.
+Defined results: empty texts (and texts without words) have n_shingles 0 and link with nothing, whatever rows share their
+id; a text with fewer words than a shingle is one shingle; rows with a null id link with nothing and have a null component;
+other rows that share an id are one document that links as any of them does; an empty table gives no rows. keep_one() does
+link rows with a null id: all of one text are one document, which comes after all ids.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm import hashing as H
@@ -39,6 +42,8 @@ from wardline.llm.tokens import in_parts
 SKETCH, ROW = 1 << 22, 1 << 13
 #: Filters have at most so many bits; fuller ones let more rows through but lose none.
 FILTER_BITS = 1 << 26
+#: Postings of a part of a block (a cell holds two parts), and pairs that leave a task at once.
+CELL, PAIRS = 2048, 1 << 17
 
 
 class Rule(NamedTuple):
@@ -229,45 +234,67 @@ def leader_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
     return met.where(good).select(F.least("sid", "lead.sid").alias("a"), F.greatest("sid", "lead.sid").alias("b")).distinct()
 
 
+def size_block(n: Column, rule: Rule) -> Column:
+    """Block of a size: sets that may link are in one block or in two that follow each other."""
+    return F.floor(F.log(n.cast("double")) / max(math.log(100 / rule.percent) * 1.0001, 1e-9))
+
+
+def list_cells(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """Postings dealt to cells (cell, n, sid, pos, label, part, own) such that every pair that may link meets in one.
+
+    A list falls into blocks of sizes; a posting goes to its own block and, as a guest, to the next. A whole block is skipped
+    if it holds one group only, or no posting early enough in its set to be the smaller of a pair. Blocks of over CELL
+    postings are cut into parts by a hash, and every two parts are a cell, so no list is one task's."""
+    marked = lists.join(labels, "sid", "left").select("token", "n", "sid", "pos", F.coalesce("label", "sid").alias("label"), F.col("label").isNotNull().alias("grouped"))
+    marked = marked.withColumn("label", F.xxhash64("grouped", "label")).drop("grouped").withColumn("block", size_block(F.col("n"), rule))
+    places = F.array(F.struct("block", F.lit(True).alias("own")), F.struct((F.col("block") + 1).alias("block"), F.lit(False).alias("own")))
+    placed = staged(marked.select("token", F.explode(places).alias("place"), "n", "sid", "pos", "label").select("token", "place.*", "n", "sid", "pos", "label"), "placed")
+    early = F.expr(f"{100 + rule.percent} * (n - pos) >= {2 * rule.percent} * n")
+    blocks = placed.groupBy("token", "block").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("x"), F.max("label").alias("y"), F.max("own").alias("owned"), F.max(early).alias("early"))
+    blocks = staged(blocks.where("owned AND early AND x <> y").select("token", "block", F.ceil(F.col("size") / CELL).alias("parts")), "blocks")
+    met = placed.join(blocks, ["token", "block"]).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    return met.withColumn("other", other).select(F.xxhash64("token", "block", F.least("part", "other"), F.greatest("part", "other")).alias("cell"), "n", "sid", "pos", "label", "part", "own", (F.col("part") == F.col("other")).alias("inner"))
+
+
 def list_pairs(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """Second round: pairs of a list whose sets are in different groups. ``labels`` has sid and label."""
-    marked = lists.join(labels, "sid", "left").select("token", "n", "sid", "pos", F.coalesce("label", "sid").alias("label"), F.col("label").isNotNull().alias("grouped"))
-    marked = staged(marked.withColumn("label", F.xxhash64("grouped", "label")).drop("grouped"), "marked")
-    mixed = staged(marked.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token"), "mixed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
 
         def pairs(cols):
-            token, n, sid, pos, label = cols
-            i, step, found = np.arange(len(token)), 0, []
+            cell, n, sid, pos, label, part, own, inner = cols
+            i, step, found, size = np.arange(len(cell)), 0, [], 0
             while len(i):
                 step += 1
-                i = i[i + step < len(token)]
+                i = i[i + step < len(cell)]
                 j = i + step
-                # Sizes ascend within a list: past the first that is too large, the whole rest is skipped.
-                i = i[(token[i] == token[j]) & (rule.percent * n[j].astype(np.int64) <= 100 * n[i].astype(np.int64))]
+                # Sizes ascend within a cell: past the first that is too large, the whole rest is skipped.
+                i = i[(cell[i] == cell[j]) & (rule.percent * n[j].astype(np.int64) <= 100 * n[i].astype(np.int64))]
                 j = i + step
-                good = (label[i] != label[j]) & _may_match(rule, n[i], pos[i], n[j], pos[j])
+                good = (label[i] != label[j]) & (own[i] | own[j]) & (inner[i] | (part[i] != part[j])) & _may_match(rule, n[i], pos[i], n[j], pos[j])
                 found.append((sid[i][good], sid[j][good]))
-            if any(len(a) for a, _ in found):
+                size += int(good.sum())
+                if size > PAIRS:
+                    yield _pair_batch(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                    found, size = [], 0
+            if size:
                 yield _pair_batch(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(k).to_numpy() for k in range(5)]
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(8)]
             if held is not None:
                 cols = [_grow(h, c) for h, c in zip(held, cols, strict=True)]
-            # The last list may go on; of it, sets too small for the newest are done.
-            edge = int(np.searchsorted(cols[0], cols[0][-1]))
+            edge = int(np.searchsorted(cols[0], cols[0][-1]))  # the last cell may go on
             yield from pairs([c[:edge] for c in cols])
             held = [c[edge:] for c in cols]
         if held is not None:
             yield from pairs(held)
 
-    rows = marked.join(mixed, "token", "left_semi").select("token", "n", "sid", "pos", "label")
-    dealt = rows.repartition(partitions(lists.sparkSession), "token").sortWithinPartitions("token", "n", "sid")
+    dealt = list_cells(lists, labels, rule).repartition(partitions(lists.sparkSession), "cell").sortWithinPartitions("cell", "n", "sid")
     return map_arrow(dealt, run, "a long, b long").distinct()
 
 
@@ -370,7 +397,11 @@ def link(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col:
     sure = met.where(_links(rule, "least"))
     open_ = met.where(F.col("both").isNull() | (_links(rule, "most") & ~_links(rule, "least"))).select("a", "b")
     exact = _sized(overlaps(open_, sets), nodes).where(_links(rule))
-    edges = near.select("r1", "r2").unionAll(sure.select("r1", "r2")).unionAll(exact.select("r1", "r2")).toDF("u", "v")
+    # Sets of rows that share an id are one document's.
+    own = rows.where("n > 0 AND doc_id IS NOT NULL")
+    many = own.groupBy("doc_id").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y").select("doc_id")
+    same = own.join(many, "doc_id", "left_semi").join(nodes.select("sid", "n", "rep"), ["sid", "n"]).select("rep", "doc_id").distinct()
+    edges = near.select("r1", "r2").unionAll(sure.select("r1", "r2")).unionAll(exact.select("r1", "r2")).unionAll(same).toDF("u", "v")
     groups = components(edges)
     found = nodes.join(groups.toDF("rep", "label"), "rep", "left").select("sid", "n", F.coalesce("label", "rep").alias("component"))
     return rows, staged(found, "found")
@@ -385,13 +416,16 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
 
 def keep_one(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without those of a group whose id is not the group's smallest; only texts that may go move."""
-    gone = near_duplicates(docs, rule, id_col, text_col).where("component_id <> doc_id").select("doc_id").distinct()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61)))  # null ids come last
+    keyed = docs.select(own.alias("doc_id"), text.alias("text"))
+    gone = near_duplicates(keyed, rule).where("component_id <> doc_id").select("doc_id").distinct()
     gone = staged(gone.select(F.xxhash64("doc_id").alias("_h"), "doc_id"), "gone")
     bits = min(FILTER_BITS, max(1024, BITS_PER_ROW * gone.count()))
     words = staged(repeated_filter(gone.select("_h").unionAll(gone.select("_h")), bits), "bloom")
-    held = docs.select(row_of(docs).alias("_doc"), F.xxhash64(F.col(id_col).cast("long")).alias("_h"))
+    held = docs.select(row_of(docs).alias("_doc"), own.alias("_key")).withColumn("_h", F.xxhash64("_key"))
     tested = maybe_repeated(held, words, bits)
-    met = tested.where("_maybe").join(gone.select("doc_id"), F.col("_doc")[id_col].cast("long") == F.col("doc_id"), "left_anti")
+    met = tested.where("_maybe").join(gone.select("doc_id"), F.col("_key") == F.col("doc_id"), "left_anti")
     return tested.where("NOT _maybe").select("_doc.*").unionByName(met.select("_doc.*"))
 
 
