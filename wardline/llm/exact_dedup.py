@@ -2,8 +2,8 @@
 
 Pass one hashes every whole text without its white space and folds the hashes into a filter of the positions that were hit
 more than once. Pass two tests every row: rows that miss the filter are unique and pass straight through; only rows that
-hit it shuffle, keyed by SHA-256. No text ever shuffles, and copies are combined before the exchange, so one group that
-holds a third of all rows costs a counter per task.
+hit it shuffle, keyed by SHA-256. Of digests, copies are combined before the exchange, so one group that holds a third of
+all rows costs a counter per task. exact_dedup() moves no text; drop_repeats() moves one text a group.
 
 Defined results: null text counts as empty, and empty texts are one group. Of equal texts the one with the most code points
 stays, then the smallest doc_id (null is smallest); if rows repeat with one doc_id, exactly one of them stays. An empty
@@ -26,10 +26,12 @@ BROADCAST_WORDS = 1 << 20
 
 
 class Digest(NamedTuple):
-    """rows: one digest row per document, flagged ``_maybe``; groups: one row per repeated text."""
+    """rows: one digest row per document, flagged ``_maybe``; groups: one row per text of those rows; words, bits: the filter."""
 
     rows: DataFrame
     groups: DataFrame
+    words: DataFrame
+    bits: int
 
 
 def normalised(text: Column) -> Column:
@@ -61,40 +63,53 @@ def maybe_repeated(rows: DataFrame, words: DataFrame, bits: int) -> DataFrame:
     return rows.withColumn("_maybe", hit[0] & hit[1]).drop(*(f"_{c}{k}" for c in "pwm" for k in (0, 1)))
 
 
+def _row_key(id_col: Column, text: Column) -> Column:
+    """Hash of the id and the whole text: rows that share it are alike but for columns that are never compared."""
+    return F.xxhash64(id_col, F.coalesce(text, F.lit("")))
+
+
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Digest:
-    norm = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")).select("doc_id", F.length("_t").cast("long").alias("_n"), normalised(F.col("_t")).alias("_t"))
-    rows = staged(norm.select("doc_id", "_n", F.xxhash64("_t").alias("_h"), F.sha2("_t", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row")), "digest")
+    norm = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")).select("doc_id", F.length("_t").cast("long").alias("_n"), _row_key(F.col("doc_id"), F.col("_t")).alias("_key"), normalised(F.col("_t")).alias("_t"))
+    rows = staged(norm.select("doc_id", "_n", "_key", F.xxhash64("_t").alias("_h"), F.sha2("_t", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row")), "digest")
     bits = filter_bits(rows.count())
     words = staged(repeated_filter(rows, bits), "bloom")
     rows = staged(maybe_repeated(rows, words, bits), "tested")
-    first = F.min(F.struct((-F.col("_n")).alias("n"), "doc_id", "_row"))
-    groups = rows.where("_maybe").groupBy("text_sha256").agg(first.alias("_first"), F.min("_h").alias("_h"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    return Digest(rows, staged(groups.select("text_sha256", F.col("_first.doc_id").alias("keep_id"), F.col("_first._row").alias("_keep"), "_h", "group_size"), "groups"))
+    first = F.min(F.struct((-F.col("_n")).alias("n"), "doc_id", "_row", "_key"))
+    groups = rows.where("_maybe").groupBy("text_sha256").agg(first.alias("_first"), F.count(F.lit(1)).alias("group_size"))
+    groups = staged(groups.select("text_sha256", F.col("_first.doc_id").alias("keep_id"), F.col("_first._row").alias("_keep"), F.col("_first._key").alias("_keep_key"), "group_size"), "groups")
+    return Digest(rows, groups, words, bits)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document, dropped ones too: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows, groups = digest(docs, id_col, text_col)
-    alone = rows.where(~F.col("_maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
-    grouped = rows.where("_maybe").drop("_h").join(groups, "text_sha256", "left")
+    found = digest(docs, id_col, text_col)
+    one = F.lit(1).cast("long")
+    alone = found.rows.where(~F.col("_maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), one.alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
+    # Rows that are alone in spite of the filter need no join.
+    groups = found.groups.where("group_size > 1")
+    grouped = found.rows.where("_maybe").drop("_h", "_key").join(groups, "text_sha256", "left")
     own = F.col("group_size").isNull()
-    grouped = grouped.select("doc_id", F.when(own, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), (own | (F.col("_keep") == F.col("_row"))).alias("kept"), "text_sha256")
+    grouped = grouped.select("doc_id", F.when(own, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", one).alias("group_size"), (own | (F.col("_keep") == F.col("_row"))).alias("kept"), "text_sha256")
     return alone.unionByName(grouped)
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns. Texts of unique rows do not shuffle, nor do those of dropped ones."""
-    groups = digest(docs, id_col, text_col).groups
-    # The filter now holds just the hashes of repeated texts: all other rows pass straight through.
-    bits = filter_bits(groups.count())
-    words = staged(repeated_filter(groups.select("_h").unionAll(groups.select("_h")), bits), "bloom")
-    flagged = maybe_repeated(docs.select(row_of(docs).alias("_doc"), F.xxhash64(normalised(F.col(text_col))).alias("_h")), words, bits).drop("_h")
-    flagged = flagged.withColumn("_sha", F.when(F.col("_maybe"), F.sha2(normalised(F.col("_doc")[text_col]), 256)))
-    alone = flagged.where(~F.col("_maybe")).select("_doc.*")
-    met = flagged.where("_maybe").join(groups.withColumnRenamed("text_sha256", "_sha"), "_sha", "left")
-    unique = met.where(F.col("group_size").isNull()).select("_doc.*")
-    kept = met.where(F.col("group_size").isNotNull() & F.col("_doc")[id_col].eqNullSafe(F.col("keep_id"))).dropDuplicates(["_sha"]).select("_doc.*")
-    return alone.unionByName(unique).unionByName(kept)
+    """The documents that stay, with all their columns: those that exact_dedup() keeps.
+
+    Texts of unique rows do not move, nor do those of dropped ones: of the rows that the filter lets through, only those that
+    a second filter takes for the one that stays are dealt, by a key that no two different rows share."""
+    found = digest(docs, id_col, text_col)
+    stay = found.groups.select(F.col("_keep_key").alias("_h"), F.col("text_sha256").alias("_sha"))
+    bits = filter_bits(stay.count())
+    words = staged(repeated_filter(stay.select("_h").unionAll(stay.select("_h")), bits), "bloom")
+    text = F.col("_doc")[text_col]
+    held = docs.select(row_of(docs).alias("_doc"), F.xxhash64(normalised(F.col(text_col))).alias("_h"))
+    tested = maybe_repeated(held, found.words, found.bits).drop("_h")
+    near = maybe_repeated(tested.where("_maybe").select("_doc", _row_key(F.col("_doc")[id_col], text).alias("_h")), words, bits).where("_maybe")
+    # Rows alike in id and text are one before they are dealt.
+    near = near.select("_doc", "_h", F.sha2(normalised(text), 256).alias("_sha")).dropDuplicates(["_h", "_sha"])
+    kept = near.join(stay, ["_h", "_sha"], "left_semi").select("_doc.*")
+    return tested.where(~F.col("_maybe")).select("_doc.*").unionByName(kept)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
