@@ -13,7 +13,8 @@ headers and permission texts of the common families. Beside the templates it rea
 grants by name ("under the MIT License or Apache-2.0", ``NAMES``) and SPDX tags, whose expressions may name any license.
 A name without a version (``gpl``) is left out where one of its versions is found.
 
-Everything is evaluated within the row; templates are few and travel as literals. Nothing shuffles.
+The catalogue is a parameter of up to ``MAX_SHINGLES`` shingles. Its index travels as constant hash tables, and the plan is
+the same for any number of templates; everything is evaluated within the row, and nothing shuffles.
 
 Defined results: null and empty texts have no licenses (count 0, empty string), nor do those below five words, unless they
 name one; repeated rows and null ids give a row each; an empty table gives no rows.
@@ -21,14 +22,20 @@ name one; repeated rows and null ids give a row each; an empty table gives no ro
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.common import SPACE, let, table
 
+#: Shingles of all templates together; the index is a literal of about 100 bytes a shingle.
+MAX_SHINGLES = 1 << 18
 WORDS, LONG, BLOCK, BANDS, ROWS, PERCENT = 5, 24, 8, 4, 2, 80
 
-#: Fixed texts: license notices by name.
+#: License notices by name.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
@@ -53,7 +60,7 @@ def _header(family: str, version: str) -> tuple[str, ...]:
     return tuple(_GNU.format(family, either, version) for either in (", either", ";"))
 
 
-#: Headers and permission texts of the common families; a name may have several wordings.
+#: Headers and permission texts of the common families; a name may have several wordings.
 NOTICES = {
     "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
     "gpl-2.0-header": _header("General Public License", "2"),
@@ -161,39 +168,77 @@ def text_bands(hashes: Column) -> Column:
     return F.when(F.size(hashes) < LONG, F.array().cast("array<bigint>")).otherwise(let(F.transform(starts, block), pairs))
 
 
-def template_index(spark: SparkSession, templates: dict[str, str | tuple[str, ...]]) -> list[tuple[str, list[int], list[int], list[int]]]:
-    """For each wording its name, its distinct shingles, and the shingles or band keys that retrieve it."""
+class Index(NamedTuple):
+    """Wordings by number: their names and numbers of distinct shingles, and the wordings of each shingle, of each single
+    shingle that retrieves a short one, and of each band key that retrieves a long one."""
+
+    names: list[str]
+    sizes: list[int]
+    shingles: dict[int, list[int]]
+    single: dict[int, list[int]]
+    bands: dict[int, list[int]]
+
+
+def _constant(value: list, kind: str) -> Column:
+    """A literal of any size as one expression, which the optimiser folds."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def template_index(spark: SparkSession, templates: dict[str, str | tuple[str, ...]]) -> Index:
+    """The catalogue as an index; it travels with the plan, so its size is bounded."""
     wordings = [(n, t) for n, held in sorted(templates.items()) for t in ([held] if isinstance(held, str) else held)]
-    texts = spark.range(1).select(F.posexplode(F.array(*(F.lit(t) for _, t in wordings))).alias("i", "t"))
+    texts = spark.range(1).select(F.posexplode(_constant([t for _, t in wordings], "array<string>")).alias("i", "t"))
     hashed = {r.i: list(r.h) for r in texts.select("i", let(tokens(F.col("t")), shingles).alias("h")).collect()}
-    keys: dict[int, set[int]] = {}
-    if any(len(h) >= LONG for h in hashed.values()):
-        every = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.array(*(F.lit(x) for x in h)).alias("h")) for i, h in hashed.items() if len(h) >= LONG))).alias("w")).select("w.*")
+    index = Index([n for n, _ in wordings], [len(set(hashed[i])) for i in range(len(wordings))], {}, {}, {})
+    if sum(index.sizes) > MAX_SHINGLES:
+        raise ValueError(f"a catalogue holds at most {MAX_SHINGLES} shingles, this one {sum(index.sizes)}")
+    for i, h in sorted(hashed.items()):
+        for held in [index.shingles] + [index.single] * (len(h) < LONG):
+            for x in sorted(set(h)):
+                held.setdefault(x, []).append(i)
+    long = [{"i": i, "h": h} for i, h in sorted(hashed.items()) if len(h) >= LONG]
+    if long:
+        every = spark.range(1).select(F.explode(_constant(long, "array<struct<i:int,h:array<bigint>>>")).alias("w")).select("w.*")
         windows = every.select("i", F.explode(F.transform(F.sequence(F.lit(1), F.size("h") - 2 * BLOCK + 1), lambda k: F.slice("h", k, F.lit(2 * BLOCK)))).alias("w"))
         minima = [F.array_min(F.transform("w", lambda x: x.bitwiseXOR(F.lit(m)))) for m in _seeds()]  # noqa: B023
-        for r in windows.select("i", F.explode(F.array(*_bands(minima))).alias("k")).distinct().collect():
-            keys.setdefault(r.i, set()).add(r.k)
-    return [(name, sorted(set(hashed[i])), [] if i in keys else sorted(set(hashed[i])), sorted(keys.get(i, ()))) for i, (name, _) in enumerate(wordings)]
+        for r in windows.select("i", F.explode(F.array(*_bands(minima))).alias("k")).distinct().orderBy("i", "k").collect():
+            index.bands.setdefault(r.k, []).append(r.i)
+    return index
+
+
+def _lookup(entries: dict[int, list[int]]) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
+    """Whether a number is a key, and the wordings of a key: a hash table of constant lists, so a look-up costs the same for any catalogue."""
+    size = 1 << max(1, len(entries)).bit_length()
+    held: list[list[dict]] = [[] for _ in range(size)]
+    for h, found in entries.items():
+        held[h & size - 1].append({"h": h, "t": found})
+    keys = _constant([[e["h"] for e in bucket] for bucket in held], "array<array<bigint>>")
+    full = _constant(held, "array<array<struct<h:bigint,t:array<int>>>>")
+    place = lambda x: x.bitwiseAND(F.lit(size - 1)).cast("int")
+    known = lambda x: F.array_contains(F.get(keys, place(x)), x)
+    return known, lambda x: F.flatten(F.transform(F.filter(F.get(full, place(x)), lambda e: e["h"] == x), lambda e: e["t"]))
 
 
-def found(text: Column, index: list[tuple[str, list[int], list[int], list[int]]]) -> Column:
+def found(text: Column, index: Index) -> Column:
     """Names of the templates that a text holds, in order."""
     return let(tokens(text), lambda w: held_in(w, index))
 
 
-def held_in(words: Column, index: list[tuple[str, list[int], list[int], list[int]]]) -> Column:
+def held_in(words: Column, index: Index) -> Column:
     """The same for the words of a text."""
-    single, banded = ([x for t in index for x in t[k]] for k in (2, 3))
-    numbers = lambda v: F.array(*(F.lit(x) for x in v)).cast("array<bigint>")
+    (is_single, of_single), (is_band, of_band), (is_shingle, of_shingle) = (_lookup(x) for x in (index.single, index.bands, index.shingles))
+    names, sizes = _constant(index.names, "array<string>"), _constant(index.sizes, "array<int>")
 
-    def verified(h: Column, name: str, own: list[int]) -> Column:
-        return F.when(F.size(F.array_intersect(numbers(own), h)) * 100 >= PERCENT * len(own), F.lit(name))
+    def check(h: Column, near: Column) -> Column:
+        """Names of the retrieved wordings of whose distinct shingles the text holds enough."""
+        own = F.flatten(F.transform(F.array_distinct(F.filter(h, is_shingle)), of_shingle))
+        enough = lambda own: F.filter(near, lambda i: F.size(F.filter(own, lambda j: j == i)) * 100 >= PERCENT * F.get(sizes, i))
+        return F.array_sort(F.array_distinct(F.transform(let(own, enough), lambda i: F.get(names, i))))
 
     def scan(h: Column) -> Column:
-        near = F.filter(h, lambda x: x.isin(single))
-        far = F.filter(text_bands(h), lambda x: x.isin(banded))
-        check = lambda hits: F.array_distinct(F.array_compact(F.array(*(F.when(F.arrays_overlap(hits, numbers(one or many)), verified(h, n, own)) for n, own, one, many in index if own))))
-        return let(F.concat(near, far), lambda hits: F.when(F.size(hits) == 0, F.array().cast("array<string>")).otherwise(check(hits)))
+        near, far = F.filter(h, is_single), F.filter(text_bands(h), is_band)
+        hits = lambda one, many: F.array_distinct(F.concat(F.flatten(F.transform(one, of_single)), F.flatten(F.transform(many, of_band))))
+        return let(near, lambda one: let(far, lambda many: F.when(F.size(one) + F.size(many) == 0, F.array().cast("array<string>")).otherwise(let(hits(one, many), lambda ids: check(h, ids)))))
 
     return let(shingles(words), scan)
 
@@ -212,7 +257,7 @@ def tagged_in(text: Column) -> Column:
     return F.filter(F.transform(every, lambda x: F.lower(F.regexp_replace(x, "\\.+$", ""))), lambda x: ~x.isin("none", "noassertion"))
 
 
-def covered(text: Column, index: list[tuple[str, list[int], list[int], list[int]]]) -> Column:
+def covered(text: Column, index: Index) -> Column:
     """Names of all licenses of a text, in order: templates, grants by name and SPDX tags."""
     tags = F.when(text.rlike("(?i)SPDX-License-Identifier:"), tagged_in(text))
     every = let(tokens(text), lambda w: F.concat(held_in(w, index), named_in(w), F.coalesce(tags, F.array().cast("array<string>"))))
