@@ -1,15 +1,18 @@
 """Operator 8, BPE encoding and decoding by content-defined chunks.
 
 Texts are cut where a rolling hash of 8 bytes meets a mask, so equal passages are cut alike wherever they stand. A chunk is
-encoded once per worker and reused; within a new chunk, so is each word between certain boundaries. A cut may fall within a token, so every join is repaired: up to the last certain word
-boundary before the cut, and from the first one after it, a chunk's ids agree exactly with those of the whole text; the
-stretch in between is encoded anew across the cut, and grows over further cuts until both ends are certain.
+encoded once per worker and reused; within a new chunk, so is each word between certain boundaries. A cut may fall within a
+token, so every join is repaired: the stretch from the last certain boundary before the cut to the first one after it is
+encoded anew across the cut. Then the library encodes the stretch together with a word on both sides: where its ids agree
+with those at hand, the join is done; else the window takes twice as many words, until its ids agree at both ends with the
+ids of the words there, and its ids are taken. Windows are remembered too, so each is encoded once per worker.
 
 A boundary is certain before a space that follows an ASCII character or Latin letter, no white space, and between such a
-letter and an ASCII mark other than the apostrophe: the byte-level pre-tokenizer
-starts a new word there whatever stands around it, special tokens hold no space, and merges never cross words.
+letter and an ASCII mark other than the apostrophe: the byte-level pre-tokenizer starts a new word there whatever stands
+around it, special tokens hold no space, and merges never cross words. So windows agree at once; the loop is what makes the
+joins exact should a tokenizer differ.
 
-Each text is handled in the task that reads it: nothing shuffles, whatever repeats, and memory holds one batch and a cache
+Each text is handled in the task that reads it: nothing shuffles, whatever repeats, and memory holds one batch and caches
 of fixed size. Defined results: null and empty texts have no ids and decode to the empty text; repeated rows and null ids
 give a row each; an empty table gives no rows.
 """
@@ -62,16 +65,12 @@ def boundaries(data: np.ndarray, starts: np.ndarray, special: bool) -> np.ndarra
     return np.flatnonzero(edge)
 
 
-def pieces_of(data: np.ndarray, starts: np.ndarray, special: bool) -> np.ndarray:
-    """Edges of the stretches that are encoded on their own: text starts, and certain boundaries on both sides of each cut."""
-    certain = boundaries(data, starts, special)
+def joins(data: np.ndarray, certain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each cut, the numbers of the last certain boundary before it and the first after it."""
     cuts = cut_points(data)
-    at = np.searchsorted(certain, cuts, "right") - 1
-    after = np.searchsorted(certain, cuts, "left")
-    edge = np.zeros(len(data) + 1, bool)
-    edge[starts] = True
-    edge[certain[at]] = edge[certain[after[after < len(certain)]]] = True
-    return np.flatnonzero(edge)
+    last, first = np.searchsorted(certain, cuts, "right") - 1, np.searchsorted(certain, cuts, "left")
+    inside = first < len(certain)
+    return last[inside], first[inside]
 
 
 _LETTER, _MARK = (np.isin(np.arange(256), [*x]) for x in ([*range(65, 91), *range(97, 123)], b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
@@ -93,6 +92,10 @@ class BoundedWords(WordEncoder):
     def simple(self, word: str) -> list[int]:
         return [t.id for t in self.tokenizer.model.tokenize(word.translate(self.shown))]
 
+    def library(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(x.ids, np.uint32) for x in found]
+
     def learn(self, words: list[bytes]) -> None:
         texts = [w.decode() for w in words]
         odd = [k for k, w in enumerate(texts) if not (self.direct and _WORD(w))]
@@ -107,6 +110,7 @@ class Codec:
         self.words = BoundedWords(name)
         self.tokenizer = self.words.tokenizer
         self.known: dict[bytes, np.ndarray] = {}
+        self.agreed: set[tuple[bytes, int, int]] = set()
         self.size = 0
         stands_for, vocabulary = byte_table(), self.tokenizer.get_vocab(with_added_tokens=True)
         special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
@@ -123,12 +127,17 @@ class Codec:
         joined = b"".join(texts)
         if not joined:
             return [np.zeros(0, np.uint32) for _ in texts]
-        ends = np.cumsum([len(t) for t in texts])
+        data, ends = np.frombuffer(joined, np.uint8), np.cumsum([len(t) for t in texts])
+        starts = np.concatenate([[0], ends])
         special = b"<|" in joined
-        edges = pieces_of(np.frombuffer(joined, np.uint8), np.concatenate([[0], ends]), special)
+        certain = boundaries(data, starts, special)
+        last, first = joins(data, certain)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[starts] = edge[certain[last]] = edge[certain[first]] = True
+        edges = np.flatnonzero(edge)
         pieces = [joined[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         if self.size > CACHE_BYTES:
-            self.known, self.size = {}, 0
+            self.known, self.agreed, self.size = {}, set(), 0
         new = list({p for p in pieces if p not in self.known})
         if new:
             fresh, size = b"".join(new), np.cumsum([0] + [len(p) for p in new])
@@ -137,9 +146,59 @@ class Codec:
             at = before[np.searchsorted(cuts, size)].tolist()
             self.known.update(zip(new, (flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)), strict=True))
             self.size += len(fresh)
-        first = np.searchsorted(edges, np.concatenate([[0], ends])).tolist()
+        of = np.searchsorted(edges, starts).tolist()
         none = [np.zeros(0, np.uint32)]
-        return [np.concatenate(none + [self.known[p] for p in pieces[a:b]]) for a, b in zip(first[:-1], first[1:], strict=True)]
+        out = [np.concatenate(none + [self.known[p] for p in pieces[a:b]]) for a, b in zip(of[:-1], of[1:], strict=True)]
+        # A window holds one more word on each side of the stretch, but none of another text.
+        whole = np.isin(certain, starts)
+        left, right = np.where(whole[last], last, last - 1), np.where(whole[first], first, first + 1)
+        for k in self.disagreeing(joined, certain, left, last, first, right):
+            text = int(np.searchsorted(ends, certain[left[k]], "right"))
+            out[text] = self.repaired(texts[text], special)
+        return out
+
+    def disagreeing(self, joined: bytes, certain: np.ndarray, *places: np.ndarray) -> list[int]:
+        """Numbers of the joins, one a text, whose window the library encodes otherwise than its parts."""
+        at = np.stack([certain[p] for p in places], 1).tolist()
+        windows = [(joined[p[0] : p[3]], p[1] - p[0], p[2] - p[0]) for p in at]
+        new = {w: k for k, w in enumerate(windows) if w not in self.agreed}
+        if not new:
+            return []
+        parts = [part for text, i, j in new for part in (text[:i], text[i:j], text[j:])]
+        flat, before = self.words.look_up(parts)
+        bad = []
+        for n, (w, found) in enumerate(zip(new, self.words.library([w[0] for w in new]), strict=True)):
+            if np.array_equal(found, flat[before[3 * n] : before[3 * n + 3]]):
+                self.agreed.add(w)
+                self.size += len(w[0])
+            else:
+                bad.append(w)
+        return [k for k, w in enumerate(windows) if w in set(bad)] if bad else []
+
+    def repaired(self, text: bytes, special: bool) -> np.ndarray:
+        """Ids of a text one of whose joins disagreed: windows grow until they agree at both ends."""
+        data = np.frombuffer(text, np.uint8)
+        certain = boundaries(data, np.array([0, len(text)]), special)
+        words = [text[a:b] for a, b in zip(certain[:-1].tolist(), certain[1:].tolist(), strict=True)]
+        flat, before = self.words.look_up(words)
+        own = lambda k: flat[before[k] : before[k + 1]]
+        taken: list[tuple[int, int, np.ndarray]] = []
+        for i, j in zip(*(x.tolist() for x in joins(data, certain)), strict=True):
+            step = 1
+            while True:
+                a, b = max(0, i - step), min(len(words), j + step)
+                while taken and a < taken[-1][1]:  # windows that meet become one
+                    a = min(a, taken.pop()[0])
+                found = self.words.library([b"".join(words[a:b])])[0]
+                if (a == 0 or np.array_equal(found[: len(own(a))], own(a))) and (b == len(words) or np.array_equal(found[len(found) - len(own(b - 1)) :], own(b - 1))):
+                    taken.append((a, b, found))
+                    break
+                step *= 2
+        out, done = [np.zeros(0, np.uint32)], 0
+        for a, b, found in taken:
+            out += [flat[before[done] : before[a]], found]
+            done = b
+        return np.concatenate([*out, flat[before[done] :]])
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 text of ids, special tokens included; broken sequences become U+FFFD as in the library."""
