@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.common import map_arrow, partitions, staged, table
@@ -29,6 +29,11 @@ from wardline.llm.tokens import in_parts, word_encoder
 TOKENIZER, END_ID, WINDOW, UNIT = "word_bpe_49k.json", 2, 4096, 1024
 
 
+def queue(source: Column) -> Column:
+    """Name of a source's queue; that of a null source is empty, and no other is."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """_row, doc_id, source, n, ids: a staged row per document; ids are compressed little-endian integers."""
 
@@ -42,7 +47,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
                 parts = [np.append(x, encoder.dtype(end_id)) for x in np.split(ids, np.cumsum(count)[:-1])]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(3)), pa.array(count + 1, pa.int64()), pa.array([pack(x.tobytes()) for x in parts], pa.binary())], names=["_row", "doc_id", "source", "n", "ids"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"), queue(F.col(source_col)).alias("source"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     return staged(map_arrow(rows, encode, "_row long, doc_id long, source string, n long, ids binary"), "ids")
 
 
@@ -60,14 +65,14 @@ def running(df: DataFrame, group: list[str], order: list[str], value: str) -> Da
 
 
 def schedule(docs: DataFrame, window: int = WINDOW, unit: int = UNIT, weights: dict[str, float] | None = None) -> DataFrame:
-    """Place of every piece: _row, start, length, sequence_id, offset. ``docs`` has _row, source and n; weights defaults to each source's share of the tokens."""
+    """Place of every piece: _row, start, length, sequence_id, offset. ``docs`` has _row, source (a queue's name) and n; weights, by source, defaults to each source's share of the tokens."""
     units = docs.select("_row", "source", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(unit).cast("long"))).alias("start"))
     units = units.withColumn("size", F.least(F.lit(unit).cast("long"), F.col("n") - F.col("start"))).drop("n")
     tokens = docs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     queued = running(units, ["source"], ["_row", "start"], "size")
     if weights:
         whole = sum(weights.values())
-        share = F.coalesce(F.create_map(*(F.lit(x) for k, w in weights.items() for x in (k, w / whole)))[F.col("source")], F.lit(1e-9))
+        share = F.coalesce(F.create_map(*(F.lit(x) for k, w in weights.items() for x in (f"={k}", w / whole)))[F.col("source")], F.lit(1e-9))
     else:
         share = F.col("_total") / F.lit(float(max(tokens, 1)))
     rounds = queued.select("_row", "start", "size", "source", F.ceil(F.col("_end") / (share * window)).alias("round"))
@@ -95,7 +100,8 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, wind
     rows = tokenized(docs, tokenizer, end_id, id_col, text_col, source_col)
     pieces = schedule(rows.select("_row", "source", "n"), window, unit, weights)
     by_doc = pieces.groupBy("_row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
-    met = rows.join(by_doc, "_row").select("doc_id", "source", "n", "ids", "pieces")
+    named = F.expr("if(source <> '', substring(source, 2), null)").alias("source")
+    met = rows.join(by_doc, "_row").select("doc_id", named, "n", "ids", "pieces")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
