@@ -20,9 +20,11 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """Folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and all run on one machine (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='wardline-')}"
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
