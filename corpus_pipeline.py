@@ -6,7 +6,8 @@ Parquet and read again as the next stage's docs. All but the last return the col
 * quality_rules: documents that the base rule or the log-likelihood ratio rejects go; the ratio is fitted on the stage's
   own input, its trusted documents are those labelled quality 1.
 * exact_dedup: of equal texts, white space aside, the longest stays, then the smallest doc_id.
-* ngram_jaccard: of each group that links of Jaccard 0.8 or more over 5-word shingles connect, the smallest doc_id stays.
+* ngram_jaccard: of each group that links of Jaccard 0.8 or more over 5-word shingles connect, the smallest doc_id stays
+  (null ids come last, and equal texts of null ids are one document).
 * pii: personal data is replaced by its kind in brackets; n_chars follows the text.
 * packing: pieces of windows of 4096 tokens, as op1 returns them, with the ids themselves.
 
