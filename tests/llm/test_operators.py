@@ -583,8 +583,9 @@ def contract(found):
     return counted(found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
 
 
-@pytest.mark.parametrize("group", [1024, 2])
-def test_suffix_dedup(spark, odd, none, plain, group, monkeypatch):
+@pytest.mark.parametrize(("split", "group"), [(64, 1024), (2, 1024), (2, 2)])
+def test_suffix_dedup(spark, odd, none, plain, split, group, monkeypatch):
+    monkeypatch.setattr(suffix, "SPLIT", split)
     monkeypatch.setattr(suffix, "GROUP", group)
     monkeypatch.setattr(suffix, "SEGMENT", 1000 if group == 2 else 1 << 22)
     r = random.Random(5)

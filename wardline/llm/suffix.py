@@ -10,9 +10,15 @@ hash of ``GRAM`` bytes). The rest is decided among the texts around equal anchor
    of which only the runs are kept, with the text position and the match length sampled at both ends of each run. Within a
    run, a position's longest match with its neighbour is one less than that of the position before it; so matching
    statistics stream through the text from the samples, and those of LENGTH or more are marked.
-3. Contexts that overlap in one text show one place twice, so their groups are compared by hashes of all strings at equal
-   distance from the anchor instead; so are groups beyond ``GROUP`` contexts, with each string a row of its own: as exact,
-   and spread over all tasks.
+3. Where one anchor has more than ``SPLIT`` contexts, their strings are dealt again by what strings that start nearly alike
+   must share: bands of ``BAND`` starts have a core of ``LENGTH - BAND + 1`` bytes. Parts of contexts that are equal repeat
+   whole; the few kinds of parts around one core are indexed as in 2.
+4. Contexts that overlap in one text show one place twice, so their groups are compared by hashes of all strings at equal
+   distance from the anchor instead; so are more than ``GROUP`` kinds around one core, with each string a row of its own: as
+   exact, and spread over all tasks.
+
+Beside the removed bytes, n_passages reports word anchors that another row holds too, so that passages of over 50 words that
+are shorter than LENGTH bytes are seen as well.
 
 Only documents with marks meet them by a shuffle. Equality of strings of 200 bytes and more is equality of 64-bit hashes.
 
@@ -38,8 +44,9 @@ from wardline.llm.tokens import in_parts
 
 LENGTH, GRAM = 400, 200
 REACH = LENGTH - GRAM  # bytes before an anchor that a string which holds it may start
-#: Contexts of one anchor that are indexed in one task, and bytes that are indexed at once.
-GROUP, CHUNK = 1024, 3 << 18
+#: Contexts of one anchor that are indexed as they are, starts of strings in a band, kinds of one core that are indexed in
+#: one task, and bytes that are indexed at once.
+SPLIT, BAND, GROUP, CHUNK = 64, 26, 1024, 3 << 18
 FILTER_BITS = 1 << 26
 #: Words of a passage that is reported beside the removed bytes, and of the grams that find it.
 PASSAGE, WORD_GRAM = 51, 38
@@ -397,6 +404,42 @@ def _hashed(contexts: DataFrame) -> DataFrame:
     return met.select("_h", "ch", "a", (F.col("a") + LENGTH).alias("b"))
 
 
+def _cores(contexts: DataFrame) -> DataFrame:
+    """Contexts cut by bands of their strings' starts. Strings of one band share a core of LENGTH - BAND + 1 bytes, so equal
+    ones meet under the hash ``_g`` of anchor, band and core; ``sh`` is the hash of the whole part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = lambda *parts: int.from_bytes(hashlib.blake2b(b"|".join(parts), digest_size=8).digest(), "little", signed=True)
+        for batch in batches:
+            out = []
+            for h, ch, left, text, doc_id, th, pos in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+                least = left + LENGTH - len(text)  # strings start this far before the anchor, up to ``left``
+                for band in range(max(0, least) // BAND, left // BAND + 1):
+                    low, high = max(least, band * BAND), min(left, band * BAND + BAND - 1)
+                    part = text[left - high : left - low + LENGTH]
+                    core = text[left - band * BAND : left - band * BAND + LENGTH - BAND + 1]
+                    key = b"%d %d" % (h, band)
+                    out.append((digest(key, core), digest(b"%d" % high, part), h, ch, high, part, doc_id, th, pos))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["_g", "sh", "_h", "ch", "left", "bytes", "doc_id", "th", "pos"])
+
+    return map_arrow(contexts.select("_h", "ch", "left", "bytes", "doc_id", "th", "pos"), run, "_g long, sh long, _h long, ch long, left int, bytes binary, doc_id long, th long, pos long")
+
+
+def _split(contexts: DataFrame) -> DataFrame:
+    """Marks of the contexts of large groups: parts that two contexts share repeat whole, and of each core only the kinds of
+    parts, which differ in less than BAND bytes at either end, are indexed against each other."""
+    rows = staged(_cores(contexts), "cores")
+    kinds = staged(rows.groupBy("_g", "sh").agg(F.count(F.lit(1)).alias("n"), F.first("left").alias("left"), F.first(F.length("bytes")).alias("size")), "parts")
+    several = staged(kinds.groupBy("_g").agg(F.count(F.lit(1)).alias("g")).where("g > 1"), "several_parts")
+    whole = kinds.where("n > 1").select("_g", "sh", (-F.col("left")).alias("a"), (F.col("size") - F.col("left")).alias("b"))
+    apart = staged(rows.join(several.select("_g"), "_g", "left_semi").dropDuplicates(["_g", "sh"]).select(F.col("_g").alias("_h"), F.col("sh").alias("ch"), "left", "bytes", "doc_id", "th", "pos"), "kinds_apart")
+    large = several.where(F.col("g") > GROUP).select(F.col("_g").alias("_h"))
+    found = _indexed(apart.join(large, "_h", "left_anti")).unionAll(_hashed(apart.join(large, "_h", "left_semi"))).toDF("_g", "sh", "a", "b")
+    marks = staged(whole.unionAll(found.join(kinds.where("n > 1"), ["_g", "sh"], "left_anti")), "part_marks")
+    return rows.select("_g", "sh", "_h", "ch").join(marks, ["_g", "sh"]).select("_h", "ch", "a", "b")
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Keyed texts, and staged rows (doc_id, th, spans, passages): unmerged arrays of (a, b) byte ranges that repeat, and the number of word anchors that another row holds too."""
     texts = _keyed(docs, id_col, text_col)
@@ -406,9 +449,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kinds = staged(occurring.groupBy("_h", "ch").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "th", "pos", "left", "size")).alias("rep")), "kinds")
     several = staged(kinds.groupBy("_h").agg(F.count(F.lit(1)).alias("g")).where("g > 1"), "several")
     contexts = _contexts(texts, kinds.join(several, "_h", "left_semi").select("_h", "ch", "rep.*"))
-    large = several.where(F.col("g") > GROUP).select("_h")
+    large = several.where(F.col("g") > SPLIT).select("_h")
     full = kinds.where("n > 1").select("_h", "ch", (-F.col("rep.left")).alias("a"), (F.col("rep.size") - F.col("rep.left")).alias("b"))
-    partial = _indexed(contexts.join(large, "_h", "left_anti")).unionAll(_hashed(contexts.join(large, "_h", "left_semi")))
+    partial = _indexed(contexts.join(large, "_h", "left_anti"))
+    if not large.isEmpty():
+        partial = partial.unionAll(_split(contexts.join(large, "_h", "left_semi")))
     partial = partial.join(kinds.where("n > 1").select("_h", "ch"), ["_h", "ch"], "left_anti")
     marks = staged(full.unionAll(partial).groupBy("_h", "ch").agg(F.collect_list(F.struct("a", "b")).alias("marks")), "marks")
     met = occurring.join(marks, ["_h", "ch"]).select("doc_id", "th", "pos", "last", F.explode("marks").alias("m"))
