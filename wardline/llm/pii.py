@@ -44,6 +44,7 @@ NEED = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "pho
 _AT, _DOT = "(?:at|AT|At|@|arroba|arobase|\u00e4t)", "(?:dot|DOT|Dot|punto|point|punkt|Punkt)"
 _BOXED_AT, _BOXED_DOT = (f"[\\[(<{{]\\x20?{x}\\x20?[\\])>}}]" for x in (_AT, _DOT))
 _IPV6 = "(?:[0-9A-Fa-f]{0,4}:){2,8}(?:[0-9A-Fa-f]{1,4}|(?<=::))"
+_PASSWORD = "password|passwd|pwd|passwort"
 #: Generators of candidates.
 CANDIDATES = {
     "email": (
@@ -58,18 +59,18 @@ CANDIDATES = {
     ),
     "secret": (
         "(?<![A-Za-z0-9_/+.-])eyJ[A-Za-z0-9_-]{5,}+\\.[A-Za-z0-9_-]{5,}+(?:\\.[A-Za-z0-9_-]++)?"
-        "|(?<=(?i:password|passwd|pwd|passwort)\\x20?[:=]\\x20?[\"']?)[^\\s\"',;:=]{6,64}+"
         "|(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])[A-Za-z0-9_/+-]{16,}+"
     ),
     "iban": "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]{4}){2,7}+(?:\\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
     "ssn": "(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])",
+    "password": f"(?<=(?i:{_PASSWORD})\\x20?[:=]\\x20?[\"']?)[^\\s\"',;:=]{{6,64}}+",
 }
 NEED_CANDIDATE = {
     "email": f"{_BOXED_AT}|\\x20@|@\\x20|\\x20{_AT}\\x20[A-Za-z0-9-]++(?:\\x20{_DOT}\\x20|\\x20?{_BOXED_DOT}|\\x20?\\.\\x20?[A-Za-z0-9-])",
-    "ip": ":[0-9A-Fa-f]{0,4}:", "card": "[0-9]{2}", "phone": "[0-9][\\x20./()-]{0,2}[0-9]", "secret": "[0-9]|(?i:password|passwd|pwd|passwort)\\x20?[:=]",
-    "iban": "[A-Z]{2}[0-9]{2}", "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    "ip": ":[0-9A-Fa-f]{0,4}:", "card": "[0-9]{2}", "phone": "[0-9][\\x20./()-]{0,2}[0-9]", "secret": "[0-9]",
+    "iban": "[A-Z]{2}[0-9]{2}", "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}", "password": "(?i:passw|pwd)",
 }
-KINDS = ["email", "ip", "card", "phone", "secret", "iban", "ssn"]
+KINDS = ["email", "ip", "card", "phone", "secret", "iban", "ssn", "password"]
 SPAN = "array<struct<s:int,e:int,m:string,b:string,a:string>>"
 
 
@@ -136,7 +137,7 @@ def base_spans(text: Column, kind: str) -> Column:
 
 
 #: Features of a candidate: counts of its format and marks of its context, all small integers.
-FEATURES = ["length", "digits", "upper", "lower", "breaks", "hex", "luhn", "assigned", "secret_word", "phone_word", "card_word", "quoted", "disguised", "date", "number_word", "mail_word", "domain", "spelled", "spaced", "stop", "ipv6", "ip_word", "colons", "sign", "marked", "mod97", "id_word"]
+FEATURES = ["length", "digits", "upper", "lower", "breaks", "hex", "luhn", "assigned", "secret_word", "phone_word", "card_word", "quoted", "disguised", "date", "number_word", "mail_word", "domain", "spelled", "spaced", "stop", "ipv6", "ip_word", "colons", "sign", "marked", "mod97", "id_word", "marks"]
 _PHONE_WORD = (
     "(?<!\\p{L})(?:tel|t\u00e9l|telef|telephone|t\u00e9l\u00e9phone|telephone|telefon|telefono|tel\u00e9fono|telefonnummer|rufnummer|phone|call|calls|called|calling|fax|mobile|mobil|mobiltelefon|movil|m\u00f3vil|cell|cellphone|dial|ring|sms|whatsapp"
     "|handy|handynummer|anruf|anrufen|ruf|rufen|appel|appelez|appeler|appelle|portable|llame|llama|llamar|ll\u00e1manos|celular)(?!\\p{L})[^0-9]*$"
@@ -176,7 +177,7 @@ def features(kind: str, x: Column) -> Column:
         only("email", flag(x["m"].rlike(f"\\x20{_DOT}\\x20|{_BOXED_DOT}"))), only("email", flag(x["m"].rlike("\\.\\x20|\\x20\\."))),
         only("email", flag(F.lower(x["m"]).rlike(f"(?:{_AT}|[\\])>}}])\\x20?(?:the|a|an|this|that|each|every|any|one|no|my|your|his|her|its|our|their|last|least|first|all)[\\x20.]"))),
         only("ip", flag(six)), only("ip", flag(before.rlike("(?<!\\p{L})(?:ip|ipv6|inet6|host|addr|address|adresse|server|client|peer|ping|from)(?!\\p{L})[^0-9]*$"))), only("ip", count(":")), only("email", flag(x["m"].contains("@"))),
-        only("secret", flag(x["m"].rlike(_MARKED))), only("iban", flag(mod97(x["m"]) == 1)), only("ssn", flag(before.rlike("(?:ssn|social security|security number|social|tax id)[^0-9]*$"))),
+        only("secret", flag(x["m"].rlike(_MARKED))), only("iban", flag(mod97(x["m"]) == 1)), only("ssn", flag(before.rlike("(?:ssn|social security|security number|social|tax id)[^0-9]*$"))), only("password", count("[^\\p{L}0-9]")),
     )
 
 
@@ -197,8 +198,8 @@ def examples(seed: int = 7, each: int = 40) -> list[tuple[str, str, int]]:
         out.append(("secret", f"{word()} {word()} {r.choice(['AKIA', 'ASIA'])}{token(dig + low.upper(), 16)} {word()}", 1))
         out.append(("secret", f"{word()} {word()} {r.choice(['ghp_', 'glpat-', 'xoxb-', 'sk-'])}{token(mixed, r.randint(20, 40))} {word()}", 1))
         out.append(("secret", f"{word()} {word()} eyJ{some(mixed, 30)}.eyJ{some(mixed, 40)}.{some(mixed, 43)} {word()}", 1))
-        out.append(("secret", f"{word()} {r.choice(['password', 'Password', 'pwd', 'passwd'])}{r.choice([': ', '=', ' = '])}{quote}{some(low, r.randint(4, 9))}{r.choice(['1', '42', '!', '2024', '#7'])}{quote} {word()}", 1))
-        out.append(("secret", f"{word()} password: {word()} {word()}", 0))
+        out.append(("password", f"{word()} {r.choice(['password', 'Password', 'pwd', 'passwd'])}{r.choice([': ', '=', ' = '])}{quote}{some(low, r.randint(4, 9))}{r.choice(['1', '42', '!', '2024', '#7'])}{quote} {word()}", 1))
+        out.append(("password", f"{word()} {r.choice(['password:', 'Password:', 'pwd ='])} {some(low, r.randint(5, 9))}q {word()}", 0))
         out.append(("secret", f"{word()} {r.choice(['commit', 'sha256', 'file', 'md5', 'page', 'commit:', 'md5 ='])} {token(hexa, r.choice([18, 32, 40, 64]))} {word()}", 0))
         out.append(("secret", f"{word()} {word()} {token(mixed, r.randint(16, 46))} {word()}", 0))
         out.append(("secret", f"{word()} {some(low, 12)}7{some(low, 8)} {word()}", 0))
