@@ -634,6 +634,14 @@ def test_long_text_is_read_in_segments(spark, monkeypatch):
     assert counted(suffix.remove_repeats(made).collect()) == whole
 
 
+def test_texts_like_the_thue_morse_word_do_not_collide(spark):
+    """Its halves are each other's complement, so sums of byte values modulo 2**64 are equal for them."""
+    word = "".join("ab"[bin(k).count("1") & 1] for k in range(4096))
+    docs = [(1, word[:2048]), (2, word[2048:]), (3, "x" * 500 + word[:1024]), (4, word[1024:2048] + "y" * 300)]
+    made = spark.createDataFrame(docs, "doc_id long, text string")
+    assert contract(suffix.remove_repeats(made)) == removed([(i, t.encode()) for i, t in docs])
+
+
 def test_matching_statistics():
     contexts = [b"abracadabra", b"abracadabri", b"cadabra", b"zzz"]
     found = suffix.matching_statistics(contexts, np.array([1, 1, 1, 2]))

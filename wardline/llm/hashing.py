@@ -51,6 +51,25 @@ def spans(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return mix((sums[stop] - sums[start]) * powers(INVERSE, len(sums))[start] + (stop - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+#: Bytes of a window; a string's hash sums over its windows.
+WINDOW = 8
+
+
+def windows(data: np.ndarray) -> np.ndarray:
+    """A random value for the WINDOW bytes from each place on (0 where fewer are left).
+
+    Sums over single bytes modulo 2**64 collide for texts built like the Thue-Morse word; windows are not additive, so these do not."""
+    out = np.zeros(len(data), np.uint64)
+    if len(data) >= WINDOW:
+        out[: 1 - WINDOW] = mix(np.ndarray((len(data) - WINDOW + 1,), np.uint64, np.ascontiguousarray(data), 0, (1,)) + np.uint64(0x9E3779B97F4A7C15))
+    return out
+
+
+def strings(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hashes of the strings data[start:stop], of WINDOW bytes at least, from prefix sums of their windows."""
+    return spans(sums, start, stop - (WINDOW - 1))
+
+
 def join_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All texts, each followed by a space, and where each starts (one more start than texts)."""
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8) if texts else np.zeros(0, np.uint8)

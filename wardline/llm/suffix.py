@@ -75,9 +75,9 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     none = tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.uint64, np.uint64, np.int64, np.int64))
     if len(data) < LENGTH:
         return none
-    sums = H.prefix(H.BYTE_VALUES[data])
+    sums = H.prefix(H.windows(data))
     at = np.arange(len(data) - GRAM + 1)
-    grams = H.spans(sums, at, at + GRAM)
+    grams = H.strings(sums, at, at + GRAM)
     # The low bits hold the place, so that of equal hashes the leftmost wins.
     low = np.uint64((1 << len(data).bit_length()) - 1)
     place = (sliding_min(grams & ~low | at.astype(np.uint64), REACH + 1) & low).astype(np.int64)
@@ -91,7 +91,7 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     left, stop = first[new], first[np.append(np.flatnonzero(new)[1:] - 1, len(first) - 1)] + LENGTH
     place = place[new]
     doc = np.searchsorted(starts, place, "right") - 1
-    around = H.mix(H.spans(sums, left, stop) + (place - left).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    around = H.mix(H.strings(sums, left, stop) + (place - left).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return doc, place - starts[doc], grams[place], around, place - left, stop - left
 
 
@@ -290,16 +290,20 @@ def matching_statistics(contexts: list[bytes], groups: np.ndarray) -> np.ndarray
     opening = at == (ends - size)[own]
     before = np.where(opening, 256 + own, data[at - 1])[order]
     edge = np.flatnonzero(before[1:] != before[:-1]) + 1  # first row of each run but the first
-    sums = H.prefix(H.BYTE_VALUES[data])
+    sums = H.prefix(H.windows(data))
+
+    near = np.ndarray((len(data),), np.uint64, np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))
 
     def common(i, j):
-        """Longest common prefix of suffixes, by bisection over hashes."""
-        low, high = np.zeros(len(i), np.int64), np.where(group[i] == group[j], np.minimum(rest[i], rest[j]), 0)
+        """Longest common prefix of suffixes: by bisection over hashes, and where it is shorter than a window by its bytes."""
+        most = np.where(group[i] == group[j], np.minimum(rest[i], rest[j]), 0)
+        few = sum(((near[i] ^ near[j]) & np.uint64((1 << 8 * k) - 1) == 0).astype(np.int64) for k in range(1, H.WINDOW))
+        low, high = np.minimum(H.WINDOW - 1, most), most
         while (low < high).any():
             mid = (low + high + 1) >> 1
-            same = H.spans(sums, i, i + mid) == H.spans(sums, j, j + mid)
-            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-        return low
+            same = H.strings(sums, i, i + mid) == H.strings(sums, j, j + mid)
+            low, high = np.where(same & (mid <= high), mid, low), np.where(same, high, mid - 1)
+        return np.where(low >= H.WINDOW, low, np.minimum(few, most))
 
     met = common(order[edge], order[edge - 1])
     best = np.zeros(len(data), np.int64)
@@ -326,7 +330,7 @@ def _string_hashes(text: bytes) -> np.ndarray:
     """Hashes of all strings of LENGTH bytes."""
     data = np.frombuffer(text, np.uint8)
     start = np.arange(len(data) - LENGTH + 1)
-    return H.spans(H.prefix(H.BYTE_VALUES[data]), start, start + LENGTH)
+    return H.strings(H.prefix(H.windows(data)), start, start + LENGTH)
 
 
 def _overlapping(rows: list[tuple]) -> bool:
