@@ -916,6 +916,7 @@ def _(t):
 def flagship(t):
     """Dedup, low-frequency filter, thresholds, outlier split, and a summary per concept."""
     rows = dedup.dedup(t("lineitem").select(*ORDER), LINE_KEY, order_of(ORDER)).kept.select("l_partkey", "l_extendedprice")
+    rows = files.staged(rows, "deduplicated")  # two narrow columns, which counts, thresholds and the split all read
     rows = quality.reject_rare(rows, "l_partkey").kept
     limits = standardize.thresholds(rows, "l_partkey", "l_extendedprice")
     every = standardize.outliers(rows, limits, "l_partkey", "l_extendedprice", {}).tagged

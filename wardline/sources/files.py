@@ -35,6 +35,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it from then on, for what several branches of a plan use."""
+    path = f"{scratch(df.sparkSession, name)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, multiline: bool = False) -> DataFrame:
     """A headered CSV table, every column text, empty fields null; optionally some columns only.
 
